@@ -77,7 +77,7 @@ def _(spark, d):
 @query(
     "q_csv_roundtrip",
     f"WITH {raw_cte()} SELECT CAST({KEY} AS VARCHAR) AS {KEY}, "
-    + ", ".join(f'trim("{c}") AS "{c}"' if c == "gender" else f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in RULED if c != "interests_correlate")
+    + ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in RULED if c != "interests_correlate")
     + " FROM survey_raw",
 )
 def _(spark, d):
@@ -85,7 +85,7 @@ def _(spark, d):
     path = scratch_path(spark, "csv")
     write_csv(raw, path)
     back = read_csv(spark, path, raw.columns)
-    return back.select(KEY, *[F.trim(quoted(c)).alias(c) for c in RULED if c != "interests_correlate"])
+    return back.select(KEY, *[quoted(c) for c in RULED if c != "interests_correlate"])
 
 
 @query("q_parquet_roundtrip", f"WITH {curated_cte()} SELECT * FROM imputed")

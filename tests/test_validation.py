@@ -1,0 +1,133 @@
+"""Range and sum rules, reports and guards."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from queries.fixture import KEY, survey_clean, survey_curated, survey_raw
+from surveyflow.functions.cells import quoted
+from surveyflow.operators import clean, profile, validate
+from surveyflow.plans.curate import curate
+from surveyflow.rules import IMPORTANCE_COLUMNS, PREFERENCE_COLUMNS, SURVEY_RULES, RuleSet
+
+
+@pytest.fixture(scope="module")
+def valid_record(spark, sf):
+    return survey_curated(spark, sf, "dropped").orderBy(KEY).limit(1).cache()
+
+
+def change(df, **values):
+    for name, value in values.items():
+        df = df.withColumn(name, F.lit(value).cast(df.schema[name].dataType))
+    return df
+
+
+def reasons_of(df):
+    return list(validate.with_reasons(df, SURVEY_RULES).first().reasons)
+
+
+def test_valid_record_has_no_reason(valid_record):
+    assert reasons_of(valid_record) == []
+
+
+def test_range_reason_and_guard(valid_record):
+    bad = change(valid_record, age=99)
+    assert reasons_of(bad) == ["age must be between 18 and 55"]
+    with pytest.raises(validate.RowsRejected) as error:
+        validate.require_valid(bad, SURVEY_RULES, [KEY])
+    assert error.value.errors[0][KEY] == valid_record.first()[KEY]
+    assert error.value.total == 1
+    assert validate.require_valid(valid_record, SURVEY_RULES, [KEY]) is valid_record
+
+
+def test_sum_reasons(valid_record):
+    preference = change(valid_record, pref_o_attractive=0)
+    importance = change(valid_record, attractive_important=0)
+    both = change(valid_record, pref_o_attractive=0, attractive_important=0)
+    assert reasons_of(preference) == ["preference percentages must sum to 100"]
+    assert reasons_of(importance) == ["importance percentages must sum to 100"]
+    assert reasons_of(both) == [
+        "preference percentages must sum to 100",
+        "importance percentages must sum to 100",
+    ]
+    many = change(both, age=99, like=-1)
+    assert reasons_of(many)[:2] == ["age must be between 18 and 55", "like must be between 0 and 10"]
+
+
+def test_missing_values_pass(valid_record):
+    gaps = change(valid_record, age=None, pref_o_attractive=None, like=None)
+    assert reasons_of(gaps) == []
+    assert validate.valid_rows(gaps, SURVEY_RULES).count() == 1
+    assert validate.filter_sums(gaps, SURVEY_RULES, missing="zero").count() == 0
+    assert validate.complete_cases(gaps).count() == 0
+
+
+def test_absent_columns_switch_rules_off(spark):
+    df = spark.createDataFrame([(20.0, 5.0)], ["age", "pref_o_attractive"])
+    assert validate.valid_rows(df, SURVEY_RULES).count() == 1
+    assert validate.valid_rows(df.select("pref_o_attractive"), RuleSet()).count() == 1
+    assert reasons_of(df) == []
+
+
+def test_nan_is_cleaned_before_rules(spark):
+    df = spark.sql("SELECT 1 AS k, double('nan') AS age")
+    assert curate(df, "imputed").first().age is None
+
+
+def test_tolerances(spark):
+    row = dict.fromkeys(PREFERENCE_COLUMNS, 100 / 6)
+    row["pref_o_attractive"] += 0.5
+    df = spark.createDataFrame([row])
+    assert validate.filter_sums(df, SURVEY_RULES).count() == 0
+    assert validate.filter_sums(df, SURVEY_RULES.with_tolerance(1)).count() == 1
+    assert validate.filter_sums(df.drop(PREFERENCE_COLUMNS[0]), SURVEY_RULES).count() == 1
+
+
+def test_batch_guards(valid_record):
+    with pytest.raises(validate.EmptyBatch):
+        validate.require_scorable(valid_record.limit(0), SURVEY_RULES, [KEY])
+    with pytest.raises(validate.RowsRejected) as error:
+        validate.require_scorable(change(valid_record, age=99), SURVEY_RULES, [KEY])
+    assert "no valid records" in str(error.value)
+    validate.require_scorable(valid_record, SURVEY_RULES, [KEY])
+
+
+def test_curated_counts(spark, sf):
+    raw = survey_raw(spark, sf)
+    assert raw.count() == 1500
+    imputed, dropped = curate(raw, "imputed"), curate(raw, "dropped")
+    assert (imputed.count(), dropped.count()) == (1352, 920)
+    assert dropped.join(imputed, KEY, "left_anti").count() == 0
+    assert "expected_num_interested_in_me" not in imputed.columns
+    floats = curate(raw, "imputed", numeric_type="float")
+    assert floats.count() == 1352 and dict(floats.dtypes)["age"] == "float"
+
+
+def test_split_covers_the_input(spark, sf):
+    cleaned = survey_clean(spark, sf)
+    valid, invalid = validate.split_rows(cleaned, SURVEY_RULES, [KEY])
+    assert valid.count() + invalid.count() == cleaned.count()
+    assert valid.join(invalid, KEY, "left_semi").count() == 0
+    assert invalid.filter(F.size("reasons") == 0).count() == 0
+
+
+def test_profiles(spark, sf):
+    cleaned = survey_clean(spark, sf)
+    stages = {r.stage: r["rows"] for r in profile.funnel(cleaned.drop(KEY), SURVEY_RULES).collect()}
+    assert stages == {"raw": 1500, "in_range": 1415, "sums_ok": 1352, "complete": 920}
+    top = profile.null_profile(clean.null_tokens(survey_raw(spark, sf)), top=2).collect()
+    assert top[0].column_name == "expected_num_interested_in_me" and top[0].pct == 78.6
+    counts = profile.null_counts(cleaned).first()
+    assert counts["met"] == 75 and counts[KEY] == 0
+    nan = spark.sql("SELECT double('nan') AS x UNION ALL SELECT NULL UNION ALL SELECT 1D")
+    assert profile.null_counts(nan, count_nan=True).first().x == 2
+    assert profile.null_profile(nan.limit(0)).first().pct is None
+
+
+def test_wide_plan_is_narrow_and_pruned(spark, sf):
+    """Curation never shuffles, and a profile of two columns reads two columns."""
+    plan = curate(survey_raw(spark, sf), "dropped")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    means = profile.group_means(survey_curated(spark, sf, "imputed"), ["match"], ["like"])
+    text = means._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<like:double,match:int>" in text
+    assert quoted("like") is not None and len(IMPORTANCE_COLUMNS) == 6
