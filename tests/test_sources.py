@@ -1,0 +1,230 @@
+"""Files, discovery, loading, record batches, configuration, scoring and streaming."""
+
+import json
+import os
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from queries.fixture import KEY, RULED, survey_curated, survey_raw
+from surveyflow.config import parse_job
+from surveyflow.functions.cells import quoted
+from surveyflow.operators import profile, validate
+from surveyflow.plans.load import NothingFound, load_all
+from surveyflow.plans.score import score, score_batch
+from surveyflow.plans.train import TrainConfig, train
+from surveyflow.rules import SURVEY_RULES
+from surveyflow.session import scratch_path, store_options
+from surveyflow.sources import bundle as bundles
+from surveyflow.sources.discover import NameClash, discover
+from surveyflow.sources.files import read_csv, read_table, write_csv, write_metrics, write_parquet
+from surveyflow.sources.jdbc import Database
+from surveyflow.sources.records import explode_records
+from surveyflow.streaming.scorer import record_stream, start_scoring
+
+QUICK = TrainConfig(impute_rounds=3, l1_folds=3, l1_strengths=(0.01, 0.1), svm_features=40, svm_iterations=15, platt_folds=2)
+
+
+@pytest.fixture(scope="module")
+def bundle(spark, sf):
+    return train(survey_curated(spark, sf, "imputed"), [KEY], config=QUICK)
+
+
+@pytest.fixture(scope="module")
+def valid(spark, sf):
+    """One valid raw record as a dictionary."""
+    key = survey_curated(spark, sf, "dropped").agg(F.min(KEY)).first()[0]
+    row = survey_raw(spark, sf).filter(F.col(KEY) == key).select(*RULED).first()
+    return row.asDict()
+
+
+def batch(spark, *records):
+    body = json.dumps({"records": list(records)})
+    return explode_records(spark.createDataFrame([(body,)], "body string"), "body", RULED)
+
+
+@pytest.fixture
+def tree(tmp_path):
+    for name in ("a.csv", "Sub Dir/part-0.snappy.parquet", "Sub Dir/part-1.PARQUET", "_temporary/x.parquet",
+                 "one/B-b.CSV", "two/b b.csv", "notes.txt"):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("x\n1\n")
+    return tmp_path
+
+
+def found(spark, root, **options):
+    return {r.table_name: os.path.relpath(r.path.removeprefix("file:").replace("%20", " "), root)
+            for r in discover(spark, str(root), **options).collect()}
+
+
+def test_discovery(spark, tree):
+    with pytest.raises(NameClash, match="b_b"):
+        discover(spark, str(tree))
+    assert found(spark, tree, on_clash="last") == {"a": "a.csv", "b_b": "two/b b.csv", "sub_dir": "Sub Dir"}
+    assert found(spark, tree, on_clash="suffix")["b_b_2"] == "two/b b.csv"
+    assert set(found(spark, tree, on_clash="last", parquet_unit="file")) == {"a", "b_b", "part_0", "part_1"}
+
+
+def test_load_all(spark, tmp_path):
+    source = tmp_path / "in"
+    spark.sql("SELECT * FROM VALUES (1, ' x '), (1, 'x'), (2, '?') AS t(`Some Id`, `%`)").repartition(2).write.parquet(
+        str(source / "Things Here"))
+    (source / "people.csv").write_text("Name,Age\nann,3\nann,3\nNA,4\n")
+    stored = {}
+    audit = load_all(spark, str(source), lambda df, name: (write_parquet(df, str(tmp_path / "out" / name)),
+                                                           stored.update({name: df.columns})))
+    assert {r.table_name: r["rows"] for r in audit.collect()} == {"people": 2, "things_here": 2}
+    assert stored == {"people": ["name", "age"], "things_here": ["some_id", "column"]}
+    people = spark.read.parquet(str(tmp_path / "out" / "people"))
+    assert {tuple(r) for r in people.collect()} == {("ann", 3), (None, 4)}
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(NothingFound):
+        load_all(spark, str(tmp_path / "empty"), print)
+
+
+def test_files(spark, tmp_path):
+    df = spark.createDataFrame([(" a ", "1"), ("?", "2")], "t string, n string")
+    write_csv(df, str(tmp_path / "c"))
+    assert {tuple(r) for r in read_csv(spark, str(tmp_path / "c"), ["t", "n"]).collect()} == {(" a ", "1"), ("?", "2")}
+    (tmp_path / "typed.csv").write_text("t,n\na,1\n")
+    assert dict(read_table(spark, str(tmp_path / "typed.csv")).dtypes)["n"] == "int"
+    write_parquet(df.repartition(3), str(tmp_path / "p"), single_file=True)
+    assert len(list(Path(tmp_path / "p").glob("*.parquet"))) == 1
+    write_parquet(df.limit(1), str(tmp_path / "p"))
+    assert read_table(spark, str(tmp_path / "p")).count() == 1
+
+
+def test_jdbc_options():
+    options = Database("db", "lake", "me", "secret").options("people")
+    assert options["url"] == "jdbc:postgresql://db:5432/lake" and options["dbtable"] == '"public"."people"'
+    assert (options["batchsize"], options["numPartitions"], options["truncate"]) == ("1000", "4", "true")
+
+
+def test_configuration():
+    config = parse_job(["--dataset", "dropped"], {"STORE_BUCKET": "b", "STORE_PREFIX": "/p/", "DB_HOST": "h"})
+    assert config.curated_path == "s3a://b/p/curated_dropped" and config.database.host == "h"
+    assert parse_job(["--root", "/data/"], {}).curated_path == "/data/curated_imputed"
+    with pytest.raises(SystemExit):
+        parse_job([], {})
+    assert "spark.hadoop.fs.s3a.access.key" not in store_options({})
+    options = store_options({"AWS_ACCESS_KEY_ID": "k", "AWS_SECRET_ACCESS_KEY": "s", "STORE_ENDPOINT": "http://store"})
+    assert options["spark.hadoop.fs.s3a.endpoint"] == "http://store"
+    assert options["spark.hadoop.fs.s3a.path.style.access"] == "true"
+
+
+def test_scratch_follows_the_session(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_bundle_contents(bundle):
+    assert bundle.metadata["kernel"] == "rbf" and bundle.metadata["split_random_state"] == 456
+    assert set(bundle.selected_features) <= set(bundle.dummy_columns)
+    assert bundle.selected_features[:2] and {"like", "attractive_partner"} <= set(bundle.selected_features)
+    assert bundle.metrics["auc"] > 0.9
+    assert "match" not in bundle.raw_columns and KEY not in bundle.raw_columns
+    assert bundles.describe(bundle) == {
+        "model_loaded": True, "algorithm": "SVC", "selected_features": len(bundle.selected_features)}
+
+
+def test_bundle_round_trip(spark, bundle, valid, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        bundles.load_bundle(spark, str(tmp_path / "nothing"))
+    bundles.save_bundle(spark, bundle, str(tmp_path / "b"))
+    again = bundles.load_bundle(spark, str(tmp_path / "b"))
+    records = batch(spark, valid, {**valid, "age": None, "like": None})
+    first, second = score(records, bundle, ["index"])[0], score(records, again, ["index"])[0]
+    assert first.orderBy("index").collect() == second.orderBy("index").collect()
+    row = bundles.summary_row(spark, again, "imputed")
+    write_metrics(row, str(tmp_path / "m"))
+    read = spark.read.json(str(tmp_path / "m")).first()
+    assert read.num_features_selected == len(bundle.selected_features)
+    assert read.metrics.confusion_matrix.true_positive == bundle.metrics["true_positive"]
+    runs = profile.compare({"a": row, "b": row})
+    assert runs.columns[0] == "run" and runs.count() == 2
+
+
+def test_missing_values_are_scored_without_fitting(spark, bundle, valid, monkeypatch):
+    import surveyflow.operators.impute as impute_module
+
+    monkeypatch.setattr(impute_module, "fit_imputer", lambda *a, **k: pytest.fail("fitted while scoring"))
+    scored, rejected = score_batch(
+        batch(spark, {**valid, "age": None, "attractive": None, "sincere": None}), bundle, ["index"])
+    assert [r["index"] for r in scored.collect()] == [0] and rejected.isEmpty()
+    assert 0 <= scored.first().probability <= 1
+
+
+def test_mixed_batch(spark, bundle, valid):
+    scored, rejected = score_batch(batch(spark, valid, {**valid, "age": 99}, valid), bundle, ["index"])
+    assert sorted(r["index"] for r in scored.collect()) == [0, 2]
+    assert [(r["index"], r.reasons) for r in rejected.collect()] == [(1, ["age must be between 18 and 55"])]
+
+
+def test_unusable_batches(spark, bundle, valid):
+    bad = {**valid, "age": 99}
+    with pytest.raises(validate.RowsRejected) as error:
+        score_batch(batch(spark, bad, bad), bundle, ["index"])
+    assert [e["index"] for e in error.value.errors] == [0, 1] and error.value.total == 2
+    with pytest.raises(validate.EmptyBatch):
+        score_batch(batch(spark), bundle, ["index"])
+
+
+def test_field_order_and_extra_fields_do_not_matter(spark, bundle, valid):
+    other = {"unknown": 1, **dict(reversed(list(valid.items())))}
+    assert score(batch(spark, valid), bundle, ["index"])[0].collect() == score(batch(spark, other), bundle, ["index"])[0].collect()
+    frame = batch(spark, valid)
+    turned = frame.select("index", *[quoted(c) for c in reversed(RULED)])
+    assert score(frame, bundle, ["index"])[0].collect() == score(turned, bundle, ["index"])[0].collect()
+
+
+def test_scoring_plan_is_narrow(spark, sf, bundle):
+    scored, _ = score(survey_raw(spark, sf), bundle, [KEY])
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_text_columns_become_dummies(spark, sf):
+    df = survey_curated(spark, sf, "imputed").withColumn(
+        "city", F.when(F.col(KEY) % 3 == 0, "x").when(F.col(KEY) % 3 == 1, "y").otherwise("z"))
+    config = TrainConfig(**{**QUICK.__dict__, "text_columns": ("city",)})
+    model = train(df, [KEY], config=config)
+    assert model.dummies.categories == {"city": ["x", "y", "z"]}
+    assert score(df.drop("city", "match"), model, [KEY])[0].count() == df.count()
+
+
+def test_stream(spark, bundle, valid, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "one.json").write_text(json.dumps({"records": [valid, {**valid, "age": 99}]}) + "\n")
+    output = str(tmp_path / "out")
+
+    def run():
+        records = record_stream(spark, str(source), RULED)
+        for started in start_scoring(records, bundle, output):
+            started.awaitTermination(120)
+
+    run()
+    run()
+    assert [r["index"] for r in spark.read.parquet(f"{output}/scored").collect()] == [0]
+    (source / "two.json").write_text(json.dumps({"records": [valid]}) + "\n")
+    run()
+    assert spark.read.parquet(f"{output}/scored").count() == 2
+    assert [r["index"] for r in spark.read.parquet(f"{output}/rejected").collect()] == [1]
+
+
+def test_jobs_end_to_end(spark, sf, tmp_path, monkeypatch):
+    from surveyflow.jobs import curate_job, score_job, train_job
+
+    write_csv(survey_raw(spark, sf).drop(KEY), str(tmp_path / "raw"))
+    config = parse_job(["--root", str(tmp_path)], {})
+    assert curate_job.run(spark, config) == {"read": 1500, "kept": 1352}
+    monkeypatch.setattr(train_job, "train", lambda df, keys: train(df, keys, config=QUICK))
+    trained = train_job.run(spark, config)
+    assert spark.read.json(config.metrics_path).first().dataset_source == "imputed"
+    (tmp_path / "requests").mkdir()
+    record = {k: v for k, v in survey_raw(spark, sf).first().asDict().items() if k in trained.raw_columns}
+    (tmp_path / "requests" / "r.json").write_text(json.dumps({"records": [record, {**record, "age": 99}]}))
+    scored, rejected = score_job.run(spark, config)
+    assert scored.count() + rejected.count() == 2
+    assert SURVEY_RULES.ranges[0].message in rejected.first().reasons
