@@ -159,15 +159,20 @@ def _(spark, d):
     return select.rank_features(table)
 
 
+def flat(row):
+    counts = "metrics.confusion_matrix"
+    return row.select(*[c for c in row.columns if c != "metrics"], "metrics.*", f"{counts}.*").drop("confusion_matrix")
+
+
 @query("q_train_metrics")
 def _(spark, d):
-    return summary_row(spark, trained(spark, d, "imputed"), "imputed")
+    return flat(summary_row(spark, trained(spark, d, "imputed"), "imputed"))
 
 
 @query("q_compare_models")
 def _(spark, d):
     rows = {mode: summary_row(spark, trained(spark, d, mode), mode) for mode in ("dropped", "imputed")}
-    return profile.compare(rows).select("run", "num_features_selected", "metrics.*")
+    return flat(profile.compare(rows))
 
 
 @query("q_score")
