@@ -20,11 +20,10 @@ def positives(df: DataFrame, label: str = "match") -> DataFrame:
 
 def standardized_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``features``: the standardised columns as a vector. Rows need to be complete."""
-    scaled = scale(df.select("*", *[quoted(c).cast("double").alias(f"__{c}") for c in columns]),
-                   fit_scale(df.select(*[quoted(c).cast("double").alias(f"__{c}") for c in columns]),
-                             [f"__{c}" for c in columns]))
-    assembler = VectorAssembler(inputCols=[f"__{c}" for c in columns], outputCol="features")
-    return assembler.transform(scaled).drop(*[f"__{c}" for c in columns])
+    names = [f"__{c}" for c in columns]
+    numbers = df.select("*", *[quoted(c).cast("double").alias(n) for c, n in zip(columns, names, strict=True)])
+    scaled = scale(numbers, fit_scale(numbers, names))
+    return VectorAssembler(inputCols=names, outputCol="features").transform(scaled).drop(*names)
 
 
 def project(df: DataFrame, columns: Sequence[str], keys: Sequence[str], k: int = 2) -> DataFrame:
