@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm import bpe, packing, sharding
+from surveyflow.llm import bpe, packing, sharding, simhash
 from surveyflow.llm.common import shared_path, stored, table
 
 QUERIES = {}
@@ -53,6 +53,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
