@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +51,16 @@ def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def id_crc(key: Column) -> Column:
     """CRC-32 of the id written as text, unsigned; splits learning rows from held-out ones."""
     return F.crc32(key.cast("string"))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches, so that a Python worker holds few texts as objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def narrow_side(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df``, of a few narrow columns, to be broadcast if it has at most ``most_rows`` rows; else as it is."""
+    few = df.limit(most_rows + 1).count() <= most_rows
+    return F.broadcast(df) if few else df.hint("merge")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm import bpe, packing, sharding, simhash
+from surveyflow.llm import bpe, packing, quality_rules, sharding, simhash
 from surveyflow.llm.common import shared_path, stored, table
 
 QUERIES = {}
@@ -64,3 +64,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), path)
     narrow = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(stored(narrow, "pieces"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
