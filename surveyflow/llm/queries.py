@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm import bpe, packing, quality_rules, sharding, simhash
-from surveyflow.llm.common import shared_path, stored, table
+from surveyflow.llm import bpe, language, packing, quality_rules, sharding, simhash
+from surveyflow.llm.common import id_crc, shared_path, stored, table
 
 QUERIES = {}
 ORACLE = {}
@@ -53,6 +53,16 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_crc(F.col("doc_id")) % 3 == 1
+    model = language.Languages.learn(docs.filter(~held_out))
+    return language.identify(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "shares"
+    )
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
