@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,10 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from surveyflow.llm.common import texts
+from surveyflow.llm.common import slices, texts
 
 #: Bounds of what a Python worker remembers: pieces, their characters, and pairs of tokens.
-MOST_PIECES, LONGEST_PIECE, MOST_PAIRS = 300_000, 48, 1_000_000
+MOST_PIECES, LONGEST_PIECE, MOST_PAIRS = 500_000, 48, 500_000
 #: A space that may belong to a run of white space; elsewhere a text can be cut before a space.
 RUN = re.compile(r" (?=\s|\Z)")
 
@@ -48,17 +49,31 @@ class Memo(dict):
         return value
 
 
+#: Fixed value: the splitting pattern for which a run of letters after a space is a piece by itself.
+LETTER_RUNS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class PieceCoder:
     """Packed little-endian ids of whole texts, put together from those of their pieces.
 
     A text is cut before every space that a visible character follows; no match of a pattern with
-    optional leading spaces crosses such a cut. Texts with other spaces are cut by ``slow``.
+    optional leading spaces crosses such a cut. Texts with other spaces are cut by ``slow``. With
+    ``piece``, a part of letters alone is known to be one piece, and so is a mark behind it.
     """
 
-    def __init__(self, chunk, slow):
-        self.first = Memo(chunk, MOST_PIECES // 10, LONGEST_PIECE)
-        self.later = Memo(lambda part: chunk(" " + part), MOST_PIECES, LONGEST_PIECE)
-        self.slow = slow
+    def __init__(self, chunk, slow, piece=None, most: int = MOST_PIECES):
+        self.first = Memo(chunk, most // 20, LONGEST_PIECE)
+        self.later = Memo(self._part, most, LONGEST_PIECE)
+        self.chunk, self.slow, self.piece = chunk, slow, piece
+        self.marks = {mark: chunk(mark) for mark in ",."} if piece else {}
+
+    def _part(self, part: str) -> bytes:
+        if self.piece:
+            if part.isalpha():
+                return self.piece(" " + part)
+            if part[-1] in self.marks and part[:-1].isalpha():
+                return self.later[part[:-1]] + self.marks[part[-1]]
+        return self.chunk(" " + part)
 
     def packed(self, text: str | None) -> bytes:
         if not text:
@@ -92,7 +107,8 @@ class Vocabulary:
         for raw, rank in sorted(ranks.items(), key=lambda item: item[1]):
             self._find_halves(raw, rank)
         self.seams: dict[tuple[int, int], bool] = {}
-        self.coder = PieceCoder(self._chunk, self._chunk)
+        self.pieces = Memo(self._piece, MOST_PIECES // 8, LONGEST_PIECE)
+        self.coder = PieceCoder(self._chunk, self._chunk, self._piece if pattern == LETTER_RUNS else None)
 
     def _find_halves(self, raw: bytes, rank: int) -> None:
         """The two tokens whose merge makes this one; a token that merging never makes has none."""
@@ -137,9 +153,13 @@ class Vocabulary:
         whole = self.ranks.get(raw)
         if whole is not None:
             return [whole]
+        text = raw.decode("latin-1")
+        greedy = [token for _, token in self.automaton.iter_long(text)]
+        if all(map(self._fits, greedy, greedy[1:])):  # the longest tokens stand together: no backtracking
+            return greedy
         size, shorter = self.size, self.shorter
         longest: list[int] = [0] * len(raw)
-        for end, token in self.automaton.iter(raw.decode("latin-1")):
+        for end, token in self.automaton.iter(text):
             longest[end + 1 - size[token]] = token
         dead = bytearray(len(raw) + 1)
         out: list[int] = []
@@ -159,9 +179,12 @@ class Vocabulary:
                 token = out.pop()
                 at -= size[token]
 
+    def _piece(self, piece: str) -> bytes:
+        ids = self.encode_piece(piece.encode())
+        return struct.pack(f"<{len(ids)}i", *ids)
+
     def _chunk(self, text: str) -> bytes:
-        ids = [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
-        return np.array(ids, "<i4").tobytes()
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.coder.packed(text), "<i4")
@@ -183,7 +206,7 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             packed = [words.coder.packed(t) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0] + [len(p) // 4 for p in packed]).astype("i4")
             flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
@@ -200,11 +223,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             column = batch.column(names.index(ids))
-            values, ends = column.flatten().to_pylist(), np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()])
+            values, ends = column.flatten().to_numpy(), np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()])
             decoded = [
-                words.decode(values[a:b]) if known else None
+                words.decode(values[a:b].tolist()) if known else None
                 for a, b, known in zip(ends[:-1], ends[1:], column.is_valid().to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(decoded, pa.binary())], [*(names[i] for i in kept), out])
