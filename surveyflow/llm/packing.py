@@ -12,6 +12,7 @@ empty table gives an empty result. Only key and text are read, so further column
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from surveyflow.functions.cells import quoted
-from surveyflow.llm.bpe import PieceCoder
-from surveyflow.llm.common import texts
+from surveyflow.llm.bpe import LONGEST_PIECE, Memo, PieceCoder
+from surveyflow.llm.common import slices, texts
 
 CAPACITY = 2048
+#: Bound of the pieces a Python worker remembers, some 300 MB.
+MOST_PIECES = 1_500_000
 #: Pieces packed together; shares of the input per task are about four times as large.
 GROUP = 16384
 #: Share of tokens, documents and attention cost in the fit.
@@ -37,23 +40,43 @@ class Tokens:
     """A tokenizer file's ids, with pieces remembered.
 
     Cutting before a space changes nothing for a byte-level pre-tokenizer, except where a special
-    token's string stands in the text; such texts, and those with runs of spaces, go in whole.
+    token's string stands in the text; such texts, and those with runs of spaces, go in whole, as
+    do all texts of other kinds of tokenizers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.special = [token.content for token in self.model.get_added_tokens_decoder().values()]
-        self.coder = PieceCoder(self.whole, self.whole)
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        split = self.tokenizer.pre_tokenizer
+        bytewise = isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
+        self.known = bytewise and self.tokenizer.normalizer is None
+        self.split, self.model = getattr(split, "pre_tokenize_str", None), self.tokenizer.model
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+        hidden = [b for b in range(256) if b not in visible]
+        self.shown = {b: 256 + i for i, b in enumerate(hidden)}
+        self.pieces = Memo(self.piece, MOST_PIECES // 8, LONGEST_PIECE)
+        self.coder = PieceCoder(self.chunk, self.whole, self.letters, MOST_PIECES) if self.known else None
+
+    def piece(self, piece: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def letters(self, piece: str) -> bytes:
+        return self.piece(piece.encode().decode("latin-1").translate(self.shown))
+
+    def chunk(self, text: str) -> bytes:
+        return b"".join([self.pieces[piece] for piece, _ in self.split(text)])
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def packed(self, text: str | None) -> bytes:
-        if text and any(s in text for s in self.special):
+        if text and (not self.known or any(s in text for s in self.special)):
             return self.whole(text)
-        return self.coder.packed(text)
+        return self.coder.packed(text) if text else b""
 
 
 @lru_cache(maxsize=4)
@@ -72,7 +95,7 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, last = tokens(tokenizer), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             row, number, start, length, ids = [], [], [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
                 packed = coder.packed(t) + last
