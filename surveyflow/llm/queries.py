@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm import bpe, language, packing, quality_rules, sharding, simhash, topk
+from surveyflow.llm import bpe, language, line_dedup, packing, quality_rules, sharding, simhash, topk
 from surveyflow.llm.common import id_crc, shared_path, stored, table
 
 QUERIES = {}
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op2_sharding")
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.into_slots(table(spark, sf_dir, "documents"))
