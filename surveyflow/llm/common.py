@@ -64,3 +64,19 @@ def narrow_side(df: DataFrame, most_rows: int) -> DataFrame:
     """``df``, of a few narrow columns, to be broadcast if it has at most ``most_rows`` rows; else as it is."""
     few = df.limit(most_rows + 1).count() <= most_rows
     return F.broadcast(df) if few else df.hint("merge")
+
+
+def learning_rows(
+    docs: DataFrame, labels: DataFrame, label: str, most: int, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, text, label) of about ``most`` labelled documents at most, whatever their number.
+
+    Of more than ``most`` labelled ids those with the lowest hashes are taken. Conflicting labels
+    of an id count as the least. The ids, bounded by ``most``, are what is broadcast.
+    """
+    known = labels.select(quoted(key).alias("doc_id"), quoted(label).cast("int").alias("label")).dropna()
+    known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
+    n = known.count()
+    if n > most:
+        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n))
+    return texts(docs, key, text).filter("text IS NOT NULL").join(F.broadcast(known), "doc_id")

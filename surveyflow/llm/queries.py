@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm import bpe, language, line_dedup, packing, quality_rules, sharding, simhash, topk
+from surveyflow.llm import bpe, language, line_dedup, packing, quality_rules, sharding, simhash, topk, toxicity
 from surveyflow.llm.common import id_crc, shared_path, stored, table
 
 QUERIES = {}
@@ -46,6 +46,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
