@@ -243,6 +243,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     smallest = members.groupBy("component").agg(F.min("least").alias("component_id"))
     named = members.join(smallest, "component").select("fingerprint", "component_id")
     named = prints.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "least").alias("component_id"))
+    named = stored(named, "named")  # a plain join of two tables: Spark can split a fingerprint that very many rows share
     return rows.join(named, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
