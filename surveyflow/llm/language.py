@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
@@ -30,12 +30,14 @@ BUCKETS, MOST_CELLS = 32768, 1 << 23
 HELD_LANGUAGES = 32
 #: Log-likelihood one more language must gain, times the logarithm of the number of trigrams.
 PENALTY = 3.0
+#: Share of the main language below which a filter rejects a text.
+LEAST_SHARE = 0.5
 ROUNDS, CLOSE = 30, 1e-4
 #: Documents and characters that are worked on together.
 DOCUMENTS, CHARACTERS = 256, 1 << 21
 
 
-def letters(df: DataFrame, text: str = "text"):
+def letters(text: str = "text") -> Column:
     """Lower-cased letters with single spaces around words: what trigrams are taken from."""
     return F.regexp_replace(F.lower(quoted(text).cast("string")), r"[^\p{L}]+", " ")
 
@@ -58,7 +60,7 @@ def count(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     Tasks count in arrays and hand on sparse rows, which Spark adds up; a task never holds more
     than a few languages.
     """
-    rows = df.select(letters(df, text).alias("text"), quoted(lang).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
+    rows = df.select(letters(text).alias("text"), quoted(lang).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -158,24 +160,33 @@ def _expectation(p, w, at, of, share, total) -> tuple[np.ndarray, np.ndarray]:
     return share, np.add.reduceat(w * np.log((p * share[of]).sum(1)), at)
 
 
+def _predicted(texts: pa.Array, model: Languages) -> Iterator[tuple[str, float, list[tuple[str, float]]]]:
+    """Language, share and all shares of every normalised text (null: no letters)."""
+    for at in range(0, len(texts), DOCUMENTS):
+        some = texts.slice(at, DOCUMENTS).to_pylist()
+        known = [t for t in some if t is not None] if model.names else []
+        found = iter(row for part in _parts(known) for row in model.mixtures(part))
+        for t in some:
+            if t is None or not model.names:
+                yield UNKNOWN, 0.0, []
+            else:
+                row = next(found)
+                shares = [(model.names[i], float(row[i])) for i in np.flatnonzero(row)]
+                yield model.names[int(row.argmax())], min(1.0, float(row.max())), shares
+
+
+def _letters(text: str) -> Column:
+    has_letter = F.coalesce(quoted(text).cast("string").rlike(r"\p{L}"), F.lit(False))
+    return F.when(has_letter, letters(text))
+
+
 def identify(df: DataFrame, model: Languages, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score (its share of the text) and shares (language to share) of every row."""
-    has_letter = F.coalesce(quoted(text).cast("string").rlike(r"\p{L}"), F.lit(False))
-    rows = df.select(quoted(key).alias("doc_id"), F.when(has_letter, letters(df, text)).alias("letters"))
+    rows = df.select(quoted(key).alias("doc_id"), _letters(text).alias("letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
-            names, scores, shares = [], [], []
-            for at in range(0, batch.num_rows, DOCUMENTS):
-                some = texts.slice(at, DOCUMENTS).to_pylist()
-                known = [t for t in some if t is not None] if model.names else []
-                found = iter(row for part in _parts(known) for row in model.mixtures(part))
-                for t in some:
-                    row = next(found) if t is not None and model.names else None
-                    names.append(UNKNOWN if row is None else model.names[int(row.argmax())])
-                    scores.append(0.0 if row is None else min(1.0, float(row.max())))
-                    shares.append([] if row is None else [(model.names[i], float(row[i])) for i in np.flatnonzero(row)])
+            names, scores, shares = zip(*_predicted(batch.column(1), model), strict=True) if batch.num_rows else ((), (), ())
             columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "shares"])
 
@@ -183,6 +194,19 @@ def identify(df: DataFrame, model: Languages, key: str = "doc_id", text: str = "
     return rows.mapInArrow(run, StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in fields)]))
 
 
+def keep(df: DataFrame, model: Languages, text: str = "text", least: float = LEAST_SHARE) -> DataFrame:
+    """The rows, as they are, with a known language that makes up at least ``least`` of the text."""
+    columns = len(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [name != UNKNOWN and share >= least for name, share, _ in _predicted(batch.column(columns), model)]
+            rows = pa.RecordBatch.from_arrays(batch.columns[:columns], batch.schema.names[:columns])
+            yield rows.filter(pa.array(good, pa.bool_()))
+
+    return df.select("*", _letters(text).alias("letters of the text")).mapInArrow(run, df.schema)
+
+
 def _parts(texts: list[str]) -> Iterator[list[str]]:
     """Runs of texts of a bounded number of characters; a longer text stands alone."""
     part, size = [], 0

@@ -135,16 +135,27 @@ def score(df: DataFrame, weights: list[int]) -> DataFrame:
     return tokens.select(*df.columns, F.when(size > 0, total / (2 * size - 1) / UNIT).alias("llr"))
 
 
+def _verdicts(rows: DataFrame, weights: list[int], threshold: float) -> DataFrame:
+    """``rows`` (with a column ``text``) and their base counts, llr, base_failed and kept."""
+    counted = repetition(score(rows.withColumn("text", F.coalesce("text", F.lit(""))), weights)).drop("text")
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    kept = ~failed & (F.coalesce("llr", F.lit(0.0)) >= threshold)
+    return counted.select("*", failed.alias("base_failed"), kept.alias("kept"))
+
+
 def judge(
     df: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD
 ) -> DataFrame:
     """doc_id, the base counts, llr, base_failed and kept of every document."""
-    weights = ratios(df, trusted, key, text, buckets)
-    rows = texts(df, key, text).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counted = repetition(score(rows, weights)).drop("text")
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return counted.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr",
-        failed.alias("base_failed"),
-        (~failed & (F.coalesce("llr", F.lit(0.0)) >= threshold)).alias("kept"),
-    )
+    return _verdicts(texts(df, key, text), ratios(df, trusted, key, text, buckets), threshold)
+
+
+def keep(
+    df: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD
+) -> DataFrame:
+    """The documents that are kept, as they are."""
+    whole = df.select(F.struct(*(quoted(c) for c in df.columns)).alias("row"), quoted(text).cast("string").alias("text"))
+    # The task's number in the projection and the condition keeps the optimizer from pushing the filter
+    # below, where the expressions it stands for would be written out within one another.
+    judged = _verdicts(whole, ratios(df, trusted, key, text, buckets), threshold).withColumn("here", F.spark_partition_id())
+    return judged.filter(F.col("kept") & (F.col("here") >= 0)).select(*(F.col("row")[c].alias(c) for c in df.columns))

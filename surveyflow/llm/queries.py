@@ -119,4 +119,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(*base, "llr")

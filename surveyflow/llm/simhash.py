@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from surveyflow.functions.cells import quoted
 from surveyflow.llm.common import stored, texts
 from surveyflow.llm.components import components
 
@@ -247,3 +248,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     return rows.join(named, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``df`` with one row of each component, that of the smallest id; rows without an id stay."""
+    named = near_duplicates(df, key, text, words, radius)
+    first = stored(named.filter("doc_id = component_id").select(F.col("doc_id").alias("smallest id")).distinct(), "firsts")
+    own = df.filter(quoted(key).isNotNull())
+    kept = own.join(first, quoted(key) == F.col("smallest id"), "left_semi").dropDuplicates([key])
+    return kept.union(df.filter(quoted(key).isNull()))
