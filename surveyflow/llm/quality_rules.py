@@ -22,7 +22,7 @@ from surveyflow.functions.cells import quoted
 from surveyflow.llm.common import SPACE, narrow_side, texts
 
 #: Fixed values of the base rules.
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS, WINDOW, MOST_REPEATED = 20, 8, 30
 #: Words and runs of marks are the tokens of the ratio.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
@@ -32,10 +32,6 @@ THRESHOLD = -0.5
 MOST_TRUSTED = 2_000_000
 
 
-def _without(text: Column, marks: str) -> Column:
-    return F.translate(text, marks, "")
-
-
 def repetition(df: DataFrame) -> DataFrame:
     """Adds the base counts of the column ``text`` (never null) to ``df``.
 
@@ -43,21 +39,20 @@ def repetition(df: DataFrame) -> DataFrame:
     by 64-bit hashes of word hashes. Where one occurs twice, the places of all such windows are
     put in order and the words they cover counted once each.
     """
-    lines = F.filter(F.split("text", "\n", -1), lambda line: F.length(_without(line, SPACE)) > 0)
+    lines = F.filter(F.split("text", "\n", -1), lambda line: F.btrim(line, F.lit(SPACE)) != "")
     words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+", -1), lambda word: word != "")
     counted = df.select(
         "*",
-        F.length(_without(F.col("text"), SPACE)).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
+        (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("_lines"),
-        F.transform(words, lambda word: F.xxhash64(word)).alias("_hashes"),
+        words.alias("_words"),
     ).select(
         *df.columns,
-        F.size("_hashes").cast("long").alias("n_words"),
-        "word_chars",
+        F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        "_hashes",
+        F.transform("_words", lambda word: F.xxhash64(word)).alias("_hashes"),
     )
     starts = F.when(F.col("n_words") >= WINDOW, F.sequence(F.lit(0), F.size("_hashes") - WINDOW)).otherwise(
         F.array().cast("array<int>")
