@@ -34,6 +34,8 @@ SCALE = 64
 SEGMENTS = 4
 #: Rows and queries of a block, and queries whose scores are worked on together.
 ROWS, QUERIES, TOGETHER = 8192, 4096, 256
+#: Row blocks of a cell of the grid where queries and rows meet, and partitions of the grid.
+GROUP, MOST_CELLS = 2, 10_000
 #: Up to this absolute score double precision is exact for whole numbers.
 EXACT = 1 << 53
 
@@ -62,7 +64,9 @@ def blocks(df: DataFrame, size: int) -> DataFrame:
             ids = part.column("vec_id").to_numpy().astype("i8")
             cutoffs = part.column("cutoff").to_numpy().astype("i8").tobytes() if has_cutoff else b""
             number = int(ids[0]) if len(ids) else 0
-            values = [number, len(v), width, ids.tobytes(), dense.tobytes(), cutoffs]
+            most = int(np.abs(dense).max(initial=0))
+            kind = next(t for t in ("i2", "i4", "i8") if most <= np.iinfo(t).max)
+            values = [number, len(v), width, ids.tobytes(), dense.astype(kind).tobytes(), cutoffs]
             types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, types, strict=True)], ["number", "rows", "width", "ids", "vectors", "cutoffs"])
 
@@ -82,20 +86,28 @@ def blocks(df: DataFrame, size: int) -> DataFrame:
 
 
 def _pairs(queries: DataFrame, rows: DataFrame) -> DataFrame:
-    """Every block of queries with every block of rows, met by the number of the query block.
+    """Every block of queries with every block of rows, met on a grid of query blocks and row groups.
 
-    ``queries`` is a stored table; its block numbers, one for thousands of queries, go into the plan.
+    ``queries`` and ``rows`` are stored tables. Block numbers of queries, one for thousands of
+    queries, go into the plan. Each cell has a partition of its own, however few bytes it holds:
+    the work in it is the product of its blocks.
     """
     numbers = sorted(r.number for r in queries.select("number").collect())
+    groups = max(1, -(-rows.count() // GROUP))
+    cells = max(1, min(MOST_CELLS, len(numbers) * groups))
     named = [f"row_{c}" for c in rows.columns]
-    dealt = rows.toDF(*named).withColumn("number", F.explode(F.array(*map(F.lit, numbers)).cast("array<long>")))
-    return dealt.join(queries, "number").select(*named, *queries.columns)
+    here = F.pmod(F.xxhash64("row_number"), F.lit(groups)).cast("int")
+    dealt = rows.toDF(*named).select(*named, here.alias("group"), F.explode(F.array(*map(F.lit, numbers)).cast("array<long>")).alias("number"))
+    asked = queries.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    dealt, asked = dealt.repartition(cells, "number", "group"), asked.repartition(cells, "number", "group")
+    return dealt.join(asked, ["number", "group"]).select(*named, *queries.columns)
 
 
 def _matrix(batch: pa.RecordBatch, i: int, prefix: str) -> tuple[np.ndarray, np.ndarray]:
     n, width = batch[f"{prefix}rows"][i].as_py(), batch[f"{prefix}width"][i].as_py()
     ids = np.frombuffer(batch[f"{prefix}ids"][i].as_buffer(), "i8")
-    return ids, np.frombuffer(batch[f"{prefix}vectors"][i].as_buffer(), "i8").reshape(n, width)
+    packed = batch[f"{prefix}vectors"][i].as_buffer()
+    return ids, np.frombuffer(packed, f"i{packed.size // max(1, n * width) or 8}").reshape(n, width)
 
 
 class Lists:
@@ -175,7 +187,7 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     """query_id, rank, vec_id and score: the k best rows for each row of ``df`` that ``queries`` marks."""
     vectors = whole_numbers(df, key, vector)
     asked = whole_numbers(df.filter(queries), key, vector).groupBy("vec_id").agg(F.min("v").alias("v"))
-    rows = blocks(vectors, ROWS)
+    rows = stored(blocks(vectors, ROWS), "rows")
     cut = cutoffs(_pairs(stored(blocks(asked, QUERIES), "queries"), rows), k)
     least = F.lit(-(1 << 62)).cast("long")
     known = asked.join(cut.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").withColumn("cutoff", F.coalesce("cutoff", least))
