@@ -1,0 +1,111 @@
+import corpus_pipeline
+import pytest
+
+from surveyflow.llm import line_dedup, simhash
+from tests.llm.test_duplicates import brute_components, brute_lines, brute_print
+from tests.llm.test_filters import base_counts, brute_rules
+from tests.llm.test_tokens import check_packing
+
+
+@pytest.fixture(scope="module")
+def staged(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    tables = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        tables.append(corpus_pipeline.stored(stage(spark, tables[-1], sf), f"test-{name}"))
+    return tables
+
+
+def as_dict(frame):
+    return {r.doc_id: r for r in frame.collect()}
+
+
+def test_stages_keep_the_columns(staged):
+    docs = staged[0]
+    for table in staged[1:-1]:
+        assert table.schema == docs.schema
+
+
+def test_quality_stage(spark, sf, staged):
+    before, after = as_dict(staged[0]), as_dict(staged[1])
+    trusted = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").collect()}
+    ratio = brute_rules(spark, {i: r.text for i, r in before.items()}, trusted)
+    for i, r in before.items():
+        n, _, _, _, repeated = base_counts(r.text)
+        assert (i in after) == (n >= 20 and 100 * repeated <= 30 * n and ratio[i] >= -0.5)
+        assert i not in after or after[i] == r
+
+
+def test_language_stage(staged):
+    before, after = as_dict(staged[1]), as_dict(staged[2])
+    assert all(after[i] == before[i] for i in after)
+    assert len(after) >= 0.98 * len(before)
+
+
+def test_line_stage(staged):
+    before, after = as_dict(staged[2]), as_dict(staged[3])
+    rows = [(i, r.text) for i, r in before.items()]
+    verdict = brute_verdict(rows)
+    for i, r in before.items():
+        lines = r.text.split("\n")
+        left = [x for n, x in enumerate(lines) if verdict.get((i, n), True)]
+        text = "\n".join(left)
+        if text.strip():
+            assert after[i].text == text and after[i].n_chars == len(text)
+            assert (after[i].lang, after[i].source) == (r.lang, r.source)
+        else:
+            assert i not in after
+
+
+def brute_verdict(rows):
+    """Kept or not, by the operator's links checked against brute force where lines repeat."""
+    seen, verdict = {}, {}
+    for i, text in sorted(rows):
+        for n, line in enumerate(text.split("\n")):
+            line = line.strip(" \t\r\x0b\x0c")
+            if line:
+                near = next((x for x in seen.get(len(line) // 1000, []) if x == line or close(x, line)), None)
+                verdict[i, n] = near is None
+                seen.setdefault(len(line) // 1000, []).append(line)
+    return verdict
+
+
+def close(a, b):
+    if min(len(a), len(b)) < line_dedup.SHORTEST or abs(len(a) - len(b)) > line_dedup.EDITS:
+        return False
+    half = min(len(a), len(b)) // 3
+    if a[:half] != b[:half] and a[-half:] != b[-half:] and a[half + 3 : 2 * half - 3] not in b:
+        return False
+    from tests.llm.test_duplicates import distance
+
+    return distance(a, b) <= line_dedup.EDITS
+
+
+def test_near_duplicate_stage(staged):
+    before, after = as_dict(staged[3]), as_dict(staged[4])
+    want = brute_components({i: brute_print(r.text) for i, r in before.items()})
+    assert set(after) == {i for i, c in want.items() if i == c}
+    assert all(after[i] == before[i] for i in after)
+
+
+def test_packing_stage(staged):
+    used, bound = check_packing(staged[5].collect(), {i: r.text for i, r in as_dict(staged[4]).items()})
+    assert used <= bound + 1
+
+
+def test_run_equals_the_stages(spark, sf, staged):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    rows = [sorted(tuple(r) for r in t.select(*columns).collect()) for t in (corpus_pipeline.run(spark, sf), staged[5])]
+    assert rows[0] == rows[1]
+
+
+def test_stages_take_odd_and_empty_tables(spark, sf, odd, nothing, odd_rows):
+    for table in (odd, nothing):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, table, sf)
+            assert name == "packing" or out.columns == odd.columns
+            assert (out.count() == 0) or table is odd
+    left = corpus_pipeline.distinct_lines(spark, odd, sf).collect()
+    kept = {(i, n) for i, n, _, _, _, k in brute_lines(odd_rows) if k}
+    assert {str(r.doc_id) for r in left} == {i for i, _ in kept}
+    assert simhash.keep_first(odd).count() == 7
