@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyflow.functions.cells import quoted
+from surveyflow.session import scratch_path
 
 #: White space that separates words: space and the five controls from tab to carriage return.
 SPACE = " \t\n\x0b\x0c\r"
@@ -20,20 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; own only where unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        context = spark.sparkContext
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the folder that driver and executors share."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -53,6 +41,17 @@ def id_crc(key: Column) -> Column:
     return F.crc32(key.cast("string"))
 
 
+def in_batches(df: DataFrame, rows: int = 1000, size: int = 1 << 23) -> DataFrame:
+    """``df``, after telling the session to hand rows to Python in batches of bounded length.
+
+    Texts are long: the usual batch of ten thousand rows takes a worker's memory several times over.
+    """
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in short batches, so that a Python worker holds few texts as objects at a time."""
     for batch in batches:

@@ -8,7 +8,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from surveyflow.llm import edit, line_dedup, queries, simhash
-from surveyflow.llm.common import stored
 from surveyflow.llm.components import components
 
 
@@ -117,10 +116,8 @@ def test_line_dedup_against_brute_force(spark):
 def test_line_groups_in_parts_lose_no_link(spark):
     rows = line_rows()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    narrow = stored(line_dedup.occurrences_of(frame), "test")
-
     def totals(part):
-        found = line_dedup.links(line_dedup.lines(frame), narrow, part=part).collect()
+        found = line_dedup.links(frame, part=part).collect()
         counts = {}
         for r in found:
             if r.b is None:
