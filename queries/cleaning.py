@@ -300,6 +300,56 @@ def _(spark, d):
     return clean.normalize_table(lines)
 
 
+@query(
+    "q_dedupe_rows",
+    "SELECT DISTINCT * REPLACE (CASE WHEN trim(l_returnflag) IN ({t}) THEN NULL ELSE trim(l_returnflag) END AS l_returnflag, "
+    "CASE WHEN trim(l_linestatus) IN ({t}) THEN NULL ELSE trim(l_linestatus) END AS l_linestatus) FROM lineitem".format(
+        t=tokens_sql(LOADER_TOKENS)
+    ),
+)
+def _(spark, d):
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    return clean.normalize_table(lines.union(lines))
+
+
+HALF_OFF = f'SELECT * REPLACE ("pref_o_attractive" + CASE WHEN {KEY} % 3 = 0 THEN 0.5 ELSE 0 END AS "pref_o_attractive") FROM clean'
+
+
+@query(
+    "q_sum_tolerances",
+    f"WITH {clean_cte()}, half AS ({HALF_OFF}) SELECT {KEY}, {sum_sql()} AS strict, {sum_sql(tolerance=1)} AS loose FROM half",
+)
+def _(spark, d):
+    """Sums that are off by one half pass the wider tolerance only."""
+    off = F.when(F.col(KEY) % 3 == 0, 0.5).otherwise(0.0)
+    half = survey_clean(spark, d).withColumn("pref_o_attractive", F.col("pref_o_attractive") + off)
+    rows = {name: validate.filter_sums(half, rules).select(KEY, F.lit(True).alias(name)) for name, rules in TOLERANCES.items()}
+    joined = half.select(KEY).join(rows["strict"], KEY, "left").join(rows["loose"], KEY, "left")
+    return joined.select(KEY, *[F.coalesce(name, F.lit(False)).alias(name) for name in rows])
+
+
+TOLERANCES = {"strict": SURVEY_RULES, "loose": SURVEY_RULES.with_tolerance(1)}
+
+NAN = "CASE WHEN o_orderkey % 9 = 0 THEN CAST('NaN' AS DOUBLE) WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END"
+
+
+@query(
+    "q_nan_profile",
+    f"""WITH t AS (SELECT o_orderkey, {NAN} AS price FROM orders)
+SELECT 'o_orderkey' AS column_name, FALSE AS with_nan, 0 AS missing UNION ALL SELECT 'o_orderkey', TRUE, 0
+UNION ALL SELECT 'price', FALSE, count_if(price IS NULL) FROM t
+UNION ALL SELECT 'price', TRUE, count_if(price IS NULL OR isnan(price)) FROM t""",
+)
+def _(spark, d):
+    """NaN counts as missing in one profile and not in the other."""
+    rows = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.expr(NAN).alias("price"))
+    both = [
+        profile.null_profile(rows, count_nan=nan).select("column_name", F.lit(nan).alias("with_nan"), "missing")
+        for nan in (False, True)
+    ]
+    return both[0].union(both[1])
+
+
 MEANS = ["like", "funny_partner", "intelligence_partner", "guess_prob_liked"]
 
 

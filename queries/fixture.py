@@ -17,7 +17,7 @@ from surveyflow.rules import (
     SURVEY_RANGES,
     SURVEY_RULES,
 )
-from surveyflow.session import scratch_path, spread, tune
+from surveyflow.session import scratch_path, tune
 
 KEY = "rec_id"
 SPARSE = "expected_num_interested_in_me"
@@ -72,7 +72,7 @@ def raw_sql(spark: bool = False) -> str:
 
 def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw survey as a lazy plan over ``orders``."""
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
     return spark.sql(raw_sql(spark=True), orders=orders)
 
 

@@ -18,14 +18,16 @@ from queries.fixture import (
 )
 from surveyflow.functions.cells import quoted
 from surveyflow.operators import clean, cluster, impute, profile, select, validate
+from surveyflow.operators.encode import column_means
 from surveyflow.plans.load import load_all
 from surveyflow.plans.score import score
 from surveyflow.plans.train import TrainConfig, train
 from surveyflow.rules import LOADER_TOKENS, SURVEY_RULES
 from surveyflow.session import scratch_path, tune
+from surveyflow.sources.discover import discover
 from surveyflow.sources.bundle import load_bundle, save_bundle, summary_row
 from surveyflow.sources.files import read_csv, write_csv, write_parquet
-from surveyflow.sources.records import explode_records
+from surveyflow.sources.records import NO_OBJECT, NO_RECORDS, explode_records, read_records, readable, unreadable
 
 QUERIES = {}
 ORACLE = {}
@@ -71,6 +73,32 @@ def _(spark, d):
     return found.select(KEY, "index", F.concat_ws("; ", "reasons").alias("reasons"))
 
 
+@query(
+    "q_record_rejects",
+    f"""WITH {clean_cte()}
+SELECT {KEY}, 'broken' AS kind, CAST(NULL AS INTEGER) AS "index", '{NO_RECORDS}' AS reasons FROM clean
+UNION ALL SELECT {KEY}, 'empty', NULL, '{NO_RECORDS}' FROM clean
+UNION ALL SELECT {KEY}, 'number', NULL, '{NO_RECORDS}' FROM clean
+UNION ALL SELECT {KEY}, 'mixed', i, '{NO_OBJECT}' FROM clean, (VALUES (0), (2), (3)) v(i)
+UNION ALL SELECT {KEY}, 'mixed', 1, {reasons_sql()} FROM clean""",
+)
+def _(spark, d):
+    raw = survey_raw(spark, d)
+    whole = F.to_json(F.struct(*[quoted(c) for c in RULED]))
+    kinds = {
+        "broken": F.concat(F.lit('{"records":['), whole),
+        "empty": F.lit('{"records":[]}'),
+        "number": F.lit("17"),
+        "mixed": F.concat(F.lit('{"records":[1,'), whole, F.lit(',null,"text"]}')),
+    }
+    bodies = F.explode(F.create_map(*[x for kind, body in kinds.items() for x in (F.lit(kind), body)])).alias("kind", "body")
+    records = read_records(raw.select(KEY, bodies), "body", RULED, keys=[KEY, "kind"])
+    keys = [KEY, "kind", "index"]
+    cleaned = clean.clean_cells(readable(records), SURVEY_RULES, keys=keys)
+    found = validate.with_reasons(cleaned, SURVEY_RULES).select(*keys, "reasons").union(unreadable(records, keys))
+    return found.select(*keys, F.concat_ws("; ", "reasons").alias("reasons"))
+
+
 # ---- files ----------------------------------------------------------------------------
 
 
@@ -95,6 +123,19 @@ def _(spark, d):
     return spark.read.parquet(path)
 
 
+@query(
+    "q_discover",
+    "SELECT t AS table_name, 'parquet' AS format FROM (VALUES "
+    + ", ".join(
+        f"('{t}')"
+        for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+    )
+    + ") v(t)",
+)
+def _(spark, d):
+    return discover(spark, d, parquet_unit="file").select("table_name", "format")
+
+
 TABLE_TEXT = {
     "region": ["r_name"],
     "nation": ["n_name"],
@@ -190,6 +231,128 @@ def _(spark, d):
     return rejected.select(KEY, F.concat_ws("; ", "reasons").alias("reasons"))
 
 
+@query("q_score_keys", f"WITH {curated_cte()} SELECT {KEY}, TRUE AS sound FROM imputed")
+def _(spark, d):
+    """Certificate of ``q_score``: exactly the valid records, each class on its side of one half."""
+    scored, _rejected = score(survey_raw(spark, d), trained(spark, d, "imputed"), [KEY])
+    side = F.col("probability").between(0, 1) & F.col("prediction").isin(0, 1)
+    return scored.select(KEY, side.alias("sound"))
+
+
+@query(
+    "q_train_totals",
+    f"""WITH {curated_cte()}, sizes AS (
+  SELECT "match" AS y, floor(0.3 * count(*) + 0.5) AS n FROM imputed WHERE "match" IS NOT NULL GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS test_rows, CAST(sum(CASE WHEN y = 1 THEN n END) AS BIGINT) AS test_positives, TRUE AS better_than_chance
+FROM sizes""",
+)
+def _(spark, d):
+    """Certificate of training: the test part's size and classes, and a model that has learned something."""
+    m = trained(spark, d, "imputed").metrics
+    negative, positive = m["true_negative"] + m["false_positive"], m["true_positive"] + m["false_negative"]
+    row = [(negative + positive, positive, bool(m["auc"] > 0.8))]
+    return spark.createDataFrame(row, "test_rows long, test_positives long, better_than_chance boolean")
+
+
+# ---- imputation, certified on values that are known ---------------------------------------
+
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+HOLES = {c: f"(l_orderkey * {a} + l_linenumber * 7) % 10 = 0" for c, a in zip(MEASURES, (3, 7, 9, 11), strict=True)}
+
+
+@query(
+    "q_impute_certificate",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS measure, count(*) AS rows, count_if({hole}) AS gaps, 0::BIGINT AS changed, 0::BIGINT AS left_empty, "
+        f"TRUE AS no_worse_than_mean FROM lineitem"
+        for c, hole in HOLES.items()
+    ),
+)
+def _(spark, d):
+    """Holes in known values: what was there stays, all holes are filled, and no worse than by the mean."""
+    known = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in MEASURES])
+    keys = ["l_orderkey", "l_linenumber"]
+    truth = [F.col(c).alias(f"true_{c}") for c in MEASURES]
+    holed = known.select(*keys, *truth, *[F.when(~F.expr(hole), F.col(c)).alias(c) for c, hole in HOLES.items()])
+    both = impute.impute(holed, impute.fit_imputer(holed, MEASURES))
+    means = column_means(holed, MEASURES)
+    parts = []
+    for c, hole in HOLES.items():
+        gap = F.expr(hole)
+        error = F.avg(F.when(gap, F.abs(F.col(c) - F.col(f"true_{c}"))))
+        by_mean = F.avg(F.when(gap, F.abs(F.lit(means[c]) - F.col(f"true_{c}"))))
+        parts.append(
+            F.struct(
+                F.lit(c).alias("measure"), F.count(F.lit(1)).alias("rows"), F.count_if(gap).alias("gaps"),
+                F.count_if(~gap & (F.col(c) != F.col(f"true_{c}"))).alias("changed"), F.count_if(F.col(c).isNull()).alias("left_empty"),
+                (error <= by_mean * 1.01).alias("no_worse_than_mean"),
+            )
+        )
+    return both.agg(F.array(*parts).alias("parts")).select(F.explode("parts").alias("p")).select("p.*")
+
+
+# ---- clusters of all line items, from given centroids --------------------------------------
+
+SCALED = {"quantity": "l_quantity / 10", "price": "l_extendedprice / 10000", "discount": "l_discount * 50", "tax": "l_tax * 50"}
+STARTS = {k: [dict.fromkeys(SCALED, float(2 * i + 1)) for i in range(k)] for k in (1, 2, 3)}
+ROUNDS = 3
+
+
+def _scaled(spark, d):
+    return spark.read.parquet(f"{d}/lineitem.parquet").select(*[F.expr(e).cast("double").alias(c) for c, e in SCALED.items()])
+
+
+def _nearest_sql(k: int, of: str) -> str:
+    distance = [" + ".join(f"(x.{c} - c{i}.{c}) * (x.{c} - c{i}.{c})" for c in SCALED) for i in range(k)]
+    best = "CASE " + " ".join(
+        f"WHEN {' AND '.join(f'{distance[i]} <= {distance[j]}' for j in range(i + 1, k)) or 'TRUE'} THEN {i}" for i in range(k)
+    )
+    froms = ", ".join(f"(SELECT * FROM {of} WHERE cluster = {i}) c{i}" for i in range(k))
+    return f"SELECT x.*, {best} END AS cluster, least({', '.join(distance)}) AS d FROM x, {froms}"
+
+
+def _lloyd_sql(k: int, name: str) -> str:
+    start = " UNION ALL ".join(
+        f"SELECT {i} AS cluster, " + ", ".join(f"{v}::DOUBLE AS {c}" for c, v in s.items()) for i, s in enumerate(STARTS[k])
+    )
+    steps = [f"{name}0 AS ({start})"]
+    for r in range(1, ROUNDS + 1):
+        means = ", ".join(f"round(avg({c}), 6) AS {c}" for c in SCALED)
+        steps.append(f"{name}{r} AS (SELECT cluster, {means} FROM ({_nearest_sql(k, f'{name}{r - 1}')}) GROUP BY 1)")
+    return ", ".join(steps)
+
+
+X_SQL = "x AS (SELECT " + ", ".join(f"({e})::DOUBLE AS {c}" for c, e in SCALED.items()) + " FROM lineitem)"
+
+
+@query(
+    "q_lloyd_profile",
+    f"WITH {X_SQL}, {_lloyd_sql(3, 'm')} SELECT cluster, count(*) AS rows, "
+    + ", ".join(f"round(avg({c}), 4) AS avg_{c}" for c in SCALED)
+    + f" FROM ({_nearest_sql(3, f'm{ROUNDS}')}) GROUP BY 1",
+)
+def _(spark, d):
+    rows = _scaled(spark, d)
+    centroids = cluster.lloyd(rows, list(SCALED), STARTS[3], ROUNDS, digits=6)
+    return cluster.cluster_profile(cluster.assign(rows, centroids), list(SCALED), digits=4)
+
+
+@query(
+    "q_lloyd_costs",
+    f"WITH {X_SQL}, "
+    + ", ".join(_lloyd_sql(k, f"m{k}_") for k in STARTS)
+    + " "
+    + " UNION ALL ".join(f"SELECT {k} AS k, round(sum(d), 2) AS wss FROM ({_nearest_sql(k, f'm{k}_{ROUNDS}')})" for k in STARTS),
+)
+def _(spark, d):
+    rows = _scaled(spark, d)
+    costs = [
+        cluster.within_cost(rows, cluster.lloyd(rows, list(SCALED), s, ROUNDS, digits=6)).select(F.lit(k).alias("k"), F.round("wss", 2).alias("wss"))
+        for k, s in STARTS.items()
+    ]
+    return costs[0].union(costs[1]).union(costs[2])
+
+
 # ---- clustering ---------------------------------------------------------------------------
 
 SHAPE = ["like", "funny_partner", "intelligence_partner", "sports", "museums"]

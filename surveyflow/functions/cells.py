@@ -36,9 +36,14 @@ def token_to_null(cell: Column, kind: T.DataType, tokens: Sequence[str], trim: b
     return cell
 
 
+#: Digits with a point and an exponent: no type suffixes, and no words such as Infinity.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def to_number(cell: Column, numeric_type: str = "double") -> Column:
-    """Text to number; what does not parse is NULL, never an error."""
-    return F.nanvl(cell.try_cast(numeric_type), F.lit(None).cast(numeric_type))
+    """Text to number; what does not parse, or is too large for a finite number, is NULL."""
+    value = F.when(cell.rlike(NUMBER), cell.try_cast(numeric_type))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def table_name(text: Column) -> Column:

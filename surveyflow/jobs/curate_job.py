@@ -15,7 +15,7 @@ def run(spark, config) -> dict[str, int]:
     read, kept = Observation(), Observation()
     columns = spark.read.option("header", True).csv(config.raw_path).columns
     raw = read_csv(spark, config.raw_path, columns).observe(read, F.count(F.lit(1)).alias("rows"))
-    curated = curate(raw, config.dataset, SURVEY_RULES).observe(kept, F.count(F.lit(1)).alias("rows"))
+    curated = curate(raw, config.dataset, SURVEY_RULES, config.text_columns, keys=config.keys).observe(kept, F.count(F.lit(1)).alias("rows"))
     write_parquet(curated, config.curated_path)
     return {"read": read.get["rows"], "kept": kept.get["rows"]}
 

@@ -1,25 +1,23 @@
-"""spark-submit score_job.py --root ...: JSON bodies below root/requests to root/scored and root/rejected"""
+"""spark-submit score_job.py --root ...: JSON bodies below root/requests to tables below root
 
-from pyspark.sql import functions as F
+scored: predictions; rejected: records and bodies that cannot be scored, and why; refused: bodies
+without a single valid record.
+"""
 
 from surveyflow.config import parse_job
-from surveyflow.plans.score import score_batch
+from surveyflow.plans.score import score_bodies
 from surveyflow.session import session
 from surveyflow.sources.bundle import load_bundle
 from surveyflow.sources.files import write_parquet
-from surveyflow.sources.records import explode_records
-
-KEYS = ["body", "index"]
+from surveyflow.sources.records import read_bodies
 
 
 def run(spark, config):
     bundle = load_bundle(spark, config.models_path)
-    bodies = spark.read.text(f"{config.root}/requests").select(F.md5("value").alias("body"), "value")
-    records = explode_records(bodies, "value", bundle.raw_columns, keys=["body"])
-    scored, rejected = score_batch(records, bundle, KEYS)
-    write_parquet(scored, f"{config.root}/scored")
-    write_parquet(rejected, f"{config.root}/rejected")
-    return scored, rejected
+    outcome = score_bodies(read_bodies(spark, f"{config.root}/requests"), bundle)
+    for name, rows in outcome.items():
+        write_parquet(rows, f"{config.root}/{name}")
+    return outcome
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 from surveyflow.config import parse_job
 from surveyflow.operators.clean import surrogate_key
-from surveyflow.plans.train import train
+from surveyflow.plans.train import TrainConfig, train
 from surveyflow.session import session
 from surveyflow.sources.bundle import save_bundle, summary_row
 from surveyflow.sources.files import write_metrics
@@ -16,7 +16,8 @@ def run(spark, config):
     Equal rows get equal keys, so duplicates are removed first: a key has to be unique.
     """
     curated = spark.read.parquet(config.curated_path).dropDuplicates()
-    bundle = train(surrogate_key(curated, curated.columns, KEY), [KEY])
+    keyed = surrogate_key(curated, curated.columns, KEY).drop(*config.keys)
+    bundle = train(keyed, [KEY], config=TrainConfig(text_columns=config.text_columns))
     save_bundle(spark, bundle, config.models_path)
     write_metrics(summary_row(spark, bundle, config.dataset), config.metrics_path)
     return bundle

@@ -50,20 +50,29 @@ def clean_cells(
     rules: RuleSet,
     text_columns: Sequence[str] = (),
     numeric_type: str = "double",
+    keys: Sequence[str] = (),
+    number_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """Codes, tokens, casts and sparse columns in a single projection."""
+    """Codes, tokens, casts and sparse columns in a single projection.
+
+    Text is cast where a rule or ``number_columns`` names the column and ``text_columns`` does
+    not; other text only loses its missing tokens. Columns in ``keys`` pass untouched.
+    """
+    numbers = {*rules.columns, *number_columns, rules.label, *(name for group in rules.sums for name in group.columns)}
 
     def cell(field: T.StructField) -> Column:
         source = quoted(field.name)
+        if field.name in keys:
+            return source
         if field.name in rules.binary:
             return binary_code(source, rules.binary[field.name])
         value = token_to_null(source, field.dataType, rules.tokens)
-        if isinstance(field.dataType, T.StringType) and field.name not in text_columns:
+        if isinstance(field.dataType, T.StringType) and field.name in numbers and field.name not in text_columns:
             # A token never parses to a number, apart from NaN, which to_number removes.
             return to_number(source, numeric_type)
         return value
 
-    return df.select([cell(f).alias(f.name) for f in df.schema if f.name not in rules.sparse_columns])
+    return df.select([cell(f).alias(f.name) for f in df.schema if f.name in keys or f.name not in rules.sparse_columns])
 
 
 def drop_columns(df: DataFrame, *columns: str) -> DataFrame:

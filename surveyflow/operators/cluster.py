@@ -71,3 +71,27 @@ def cluster_profile(df: DataFrame, columns: Sequence[str], cluster: str = "clust
     return df.groupBy(quoted(cluster)).agg(
         F.count(F.lit(1)).alias("rows"), *[F.round(F.avg(quoted(c)), digits).alias(f"avg_{c}") for c in columns]
     )
+
+
+def lloyd(
+    df: DataFrame, columns: Sequence[str], centroids: Sequence[dict[str, float]], rounds: int, digits: int | None = None
+) -> list[dict[str, float]]:
+    """Centroids after so many rounds from given ones; each round is one aggregate, of a row per cluster.
+
+    A cluster without rows keeps its centroid. ``digits`` rounds the centroids after each round.
+    """
+    current = [dict(c) for c in centroids]
+    for _ in range(rounds):
+        sums = assign(df, current).groupBy("cluster").agg(*[F.avg(quoted(c)).alias(c) for c in columns])
+        for row in sums.collect():
+            current[row["cluster"]] = {c: row[c] if digits is None else round(row[c], digits) for c in columns}
+    return current
+
+
+def within_cost(df: DataFrame, centroids: Sequence[dict[str, float]]) -> DataFrame:
+    """One row: the sum of squared distances to the nearest of the given centroids."""
+    distances = [
+        sum(((quoted(c) - value) * (quoted(c) - value) for c, value in centroid.items()), F.lit(0.0))
+        for centroid in centroids
+    ]
+    return df.agg(F.sum(F.array_min(F.array(*distances))).alias("wss"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +13,9 @@ from surveyflow.rules import RuleSet
 
 
 class RowsRejected(ValueError):
-    """Some rows break the rules. ``errors`` lists the first of them, ``total`` counts all."""
+    """Some rows break the rules. ``errors`` is the lazy report on all of them, ``total`` their number."""
 
-    def __init__(self, message: str, errors: list[dict[str, Any]], total: int) -> None:
+    def __init__(self, message: str, errors: DataFrame, total: int) -> None:
         super().__init__(message)
         self.errors = errors
         self.total = total
@@ -34,9 +33,9 @@ def filter_sums(df: DataFrame, rules: RuleSet, missing: str = "pass") -> DataFra
     return df.filter(sums_ok(rules, df.columns, missing))
 
 
-def complete_cases(df: DataFrame) -> DataFrame:
-    """Rows without NULL or NaN."""
-    return df.na.drop()
+def complete_cases(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows without NULL or NaN in ``columns``, or in any column."""
+    return df.na.drop(subset=None if columns is None else list(columns))
 
 
 def valid_rows(df: DataFrame, rules: RuleSet) -> DataFrame:
@@ -59,29 +58,36 @@ def split_rows(df: DataFrame, rules: RuleSet, keys: Sequence[str]) -> tuple[Data
     return valid_rows(df, rules), invalid_rows(df, rules, keys)
 
 
-def report_list(invalid: DataFrame, keys: Sequence[str], most: int = 1000) -> list[dict[str, Any]]:
-    """The first rejects in key order as plain dictionaries, for an error message."""
-    rows = invalid.orderBy(*[quoted(key) for key in keys]).limit(most).collect()
-    return [{**{key: row[key] for key in keys}, "reasons": list(row["reasons"])} for row in rows]
-
-
-def require_valid(df: DataFrame, rules: RuleSet, keys: Sequence[str], most: int = 1000) -> DataFrame:
+def require_valid(df: DataFrame, rules: RuleSet, keys: Sequence[str]) -> DataFrame:
     """Return ``df`` unchanged, or raise when any row is invalid."""
     invalid = invalid_rows(df, rules, keys)
-    errors = report_list(invalid, keys, most)
-    if errors:
-        total = len(errors) if len(errors) < most else invalid.count()
-        raise RowsRejected("input holds structurally invalid records", errors, total)
+    total = invalid.count()
+    if total:
+        raise RowsRejected(f"{total} records break the rules", invalid, total)
     return df
 
 
-def require_scorable(df: DataFrame, rules: RuleSet, keys: Sequence[str], most: int = 1000) -> None:
+def batch_counts(df: DataFrame, rules: RuleSet, by: Sequence[str] = ()) -> DataFrame:
+    """Number of records and of valid ones, per batch or of all."""
+    ok = ranges_ok(rules, df.columns) & sums_ok(rules, df.columns)
+    rows = df.select(*[quoted(c) for c in by], ok.alias("ok"))
+    return rows.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("records"), F.count_if("ok").alias("valid"))
+
+
+# Fixed value: the message of a batch without a valid record.
+NOTHING_VALID = "no valid records available for prediction"
+
+
+def refused_batches(df: DataFrame, rules: RuleSet, batch: Sequence[str]) -> DataFrame:
+    """Batches in which no record is valid: their key, number of records and reason."""
+    counts = batch_counts(df, rules, batch).filter(F.col("valid") == 0)
+    return counts.select(*[quoted(c) for c in batch], "records", F.lit(NOTHING_VALID).alias("reason"))
+
+
+def require_scorable(df: DataFrame, rules: RuleSet, keys: Sequence[str]) -> None:
     """Raise for an empty batch, or for one in which no row is valid."""
-    found = df.select(
-        F.lit(1).alias("any"), (ranges_ok(rules, df.columns) & sums_ok(rules, df.columns)).alias("ok")
-    ).agg(F.count("any").alias("rows"), F.count_if("ok").alias("valid")).first()
-    if found["rows"] == 0:
-        raise EmptyBatch("at least one record is required")
+    found = batch_counts(df, rules).first()
+    if found["records"] == 0:
+        raise EmptyBatch("the batch holds no record")
     if found["valid"] == 0:
-        errors = report_list(invalid_rows(df, rules, keys), keys, most)
-        raise RowsRejected("no valid records available for prediction", errors, found["rows"])
+        raise RowsRejected(NOTHING_VALID, invalid_rows(df, rules, keys), found["records"])

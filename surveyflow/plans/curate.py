@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from surveyflow.operators.clean import clean_cells
+from surveyflow.operators.clean import clean_cells, column_kinds
 from surveyflow.operators.validate import complete_cases, valid_rows
 from surveyflow.rules import SURVEY_RULES, RuleSet
 
@@ -19,13 +19,16 @@ def curate(
     rules: RuleSet = SURVEY_RULES,
     text_columns: Sequence[str] = (),
     numeric_type: str = "double",
+    keys: Sequence[str] = (),
+    number_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Clean, then keep the rows that obey the rules.
 
-    ``imputed`` keeps missing values for a later imputer; ``dropped`` keeps complete
-    rows only. One narrow stage either way: no shuffle, no collect.
+    ``imputed`` keeps missing values for a later imputer; ``dropped`` keeps the rows whose
+    numbers are all there. One narrow stage either way: no shuffle, no collect.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    kept = valid_rows(clean_cells(df, rules, text_columns, numeric_type), rules)
-    return complete_cases(kept) if mode == "dropped" else kept
+    kept = valid_rows(clean_cells(df, rules, text_columns, numeric_type, keys, number_columns), rules)
+    numbers, _other = column_kinds(kept, exclude=keys)
+    return complete_cases(kept, numbers) if mode == "dropped" else kept

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,18 +24,23 @@ def load_all(
     write: Callable[[DataFrame, str], None],
     parquet_unit: str = "directory",
     on_clash: str = "error",
+    parallel: int = 4,
 ) -> DataFrame:
     """Normalise each dataset and hand it to ``write(df, table_name)``; returns (table_name, path, rows).
 
-    Rows are counted while they are written, so each dataset is read once.
+    Rows are counted while they are written, so each dataset is read once. Up to ``parallel``
+    datasets are loaded at a time, so that small ones do not wait for the last task of another.
     """
     datasets = discover(spark, root, parquet_unit, on_clash).orderBy("table_name").collect()
     if not datasets:
-        raise NothingFound(f"no CSV or Parquet files found below {root}")
-    audit = []
-    for dataset in datasets:
+        raise NothingFound(f"{root} has no dataset to load")
+
+    def load(dataset) -> tuple[str, str, int]:
         seen = Observation()
-        table = normalize_table(read_table(spark, dataset["path"]))
+        table = normalize_table(read_table(spark, dataset["path"], dataset["format"]))
         write(table.observe(seen, F.count(F.lit(1)).alias("rows")), dataset["table_name"])
-        audit.append((dataset["table_name"], dataset["path"], seen.get["rows"]))
+        return dataset["table_name"], dataset["path"], seen.get["rows"]
+
+    with ThreadPoolExecutor(parallel) as pool:
+        audit = list(pool.map(inheritable_thread_target(spark)(load), datasets))
     return spark.createDataFrame(audit, "table_name string, path string, rows long")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 TUNING = {
     "spark.sql.codegen.maxFields": "40",
@@ -76,22 +77,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input has fewer splits than cores; else leave it alone.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder all machines share, as the cluster names it.
 
-    For row-wise work that is heavy compared with the width of the row. Large inputs
-    have many splits and never shuffle here.
+    Only where driver and executors are one process, and nothing is set, a temporary folder does.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set (tests)."""
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="surveyflow-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="surveyflow-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 

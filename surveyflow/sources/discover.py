@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from surveyflow.functions.cells import table_name
+from surveyflow.sources.files import literal_path
 
 CLASH_POLICIES = ("error", "last", "suffix")
 
 
 class NameClash(ValueError):
-    """Two datasets would become the same table."""
+    """Datasets would become the same table. ``clashes`` is the lazy list of all such names."""
+
+    def __init__(self, message: str, clashes: DataFrame) -> None:
+        super().__init__(message)
+        self.clashes = clashes
 
 
 def discover(
@@ -21,7 +26,8 @@ def discover(
     """(table_name, path, format): each CSV file, and each folder of Parquet part files.
 
     ``parquet_unit="file"`` makes every Parquet file a table of its own. Files and folders
-    whose names start with '_' or '.' are skipped. Spark lists the tree and reads no content.
+    whose names start with '_' or '.' are skipped. A partitioned table, whose part files lie in
+    folders ``name=value``, is one dataset. Spark lists the tree and reads no content.
     """
     if parquet_unit not in ("directory", "file") or on_clash not in CLASH_POLICIES:
         raise ValueError("unknown parquet_unit or on_clash")
@@ -29,9 +35,12 @@ def discover(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.{[cC][sS][vV],[pP][aA][rR][qQ][uU][eE][tT]}")
-        .load(root)
+        .load(literal_path(root))
         .select("path")
     )
+    # Partition folders belong to the table above them, unless every file is a table.
+    if parquet_unit == "directory":
+        files = files.select(F.regexp_replace("path", r"(/[^/=]+=[^/]*)+(/[^/]+\.(?i:parquet))$", "$2").alias("path"))
     parts = F.split("path", "/")
     name = F.element_at(parts, -1)
     kind = F.when(F.lower(name).endswith(".csv"), "csv").otherwise("parquet")
@@ -53,7 +62,8 @@ def discover(
         suffix = F.when(F.col("turn") > 1, F.concat(F.lit("_"), F.col("turn"))).otherwise("")
         return numbered.select(F.concat("table_name", suffix).alias("table_name"), "path", "format")
     if on_clash == "error":
-        clashes = [r["table_name"] for r in numbered.filter("turn = 2").select("table_name").limit(20).collect()]
-        if clashes:
-            raise NameClash(f"several datasets share the table names {clashes}")
+        clashes = numbered.filter("turn = 2").select("table_name")
+        shared = clashes.count()
+        if shared:
+            raise NameClash(f"{shared} table names are shared by several datasets, {clashes.first()[0]!r} among them", clashes)
     return numbered.filter("turn = same").select("table_name", "path", "format")

@@ -8,19 +8,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from surveyflow.plans.score import score
+from surveyflow.plans.score import BODY_KEYS, score_records
 from surveyflow.rules import SURVEY_RULES, RuleSet
 from surveyflow.sources.bundle import Bundle
-from surveyflow.sources.records import explode_records
+from surveyflow.sources.records import read_bodies, read_records
 
-KEYS = ["file", "index"]
+KEYS = BODY_KEYS
 
 
 def record_stream(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Records of new files below ``path``, one JSON body per line, keyed by body and position."""
-    bodies = spark.readStream.text(path).selectExpr("_metadata.file_path AS file_path", "value")
-    keyed = bodies.selectExpr("concat(file_path, '#', md5(value)) AS file", "value")
-    return explode_records(keyed, "value", columns, keys=["file"], index="index")
+    """Records of new files below ``path``, readable or not, keyed by body and position."""
+    return read_records(read_bodies(spark, path, stream=True), "value", columns, keys=["body"])
 
 
 def start_scoring(
@@ -30,7 +28,7 @@ def start_scoring(
 
     The file sink's commit log and the checkpoint make a restart or a lost executor harmless.
     """
-    scored, rejected = score(records, bundle, KEYS, rules)
+    scored, rejected = score_records(records, bundle, KEYS, rules)
     queries = []
     for name, rows in (("scored", scored), ("rejected", rejected)):
         writer = rows.writeStream.format("parquet").outputMode("append")

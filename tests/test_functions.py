@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from surveyflow.functions.cells import binary_code, table_name
+from surveyflow.functions.cells import binary_code, table_name, to_number
 from surveyflow.functions.names import unique_names
 from surveyflow.operators import clean
 from surveyflow.rules import LOADER_TOKENS, MISSING_TOKENS, SURVEY_RULES
@@ -117,3 +117,15 @@ def test_drop_unknown_mode(spark):
 
     with pytest.raises(ValueError):
         curate(spark.range(1).toDF("age"), "other")
+
+
+def test_odd_spellings_of_numbers(spark):
+    cells = {"1.5": 1.5, " -2e1 ": -20.0, ".5": 0.5, "7.": 7.0, "10d": None, "10f": None, "Infinity": None, "-inf": None, "1e400": None, "NaN": None, "1,5": None, "": None, "0x1": None}
+    df = spark.createDataFrame([(k,) for k in cells], "v string")
+    assert {r.v: r.n for r in df.select("v", to_number(F.col("v")).alias("n")).collect()} == cells
+
+
+def test_only_ruled_columns_are_cast(spark):
+    df = spark.createDataFrame([("Ann", "30", "NA", "7"), ("?", "31", "x", "8")], "name string, age string, note string, extra string")
+    rows = clean.clean_cells(df, SURVEY_RULES, keys=["note"], number_columns=["extra"]).collect()
+    assert [tuple(r) for r in rows] == [("Ann", 30.0, "NA", 7.0), (None, 31.0, "x", 8.0)]

@@ -20,7 +20,7 @@ from surveyflow.sources import bundle as bundles
 from surveyflow.sources.discover import NameClash, discover
 from surveyflow.sources.files import read_csv, read_table, write_csv, write_metrics, write_parquet
 from surveyflow.sources.jdbc import Database
-from surveyflow.sources.records import explode_records
+from surveyflow.sources.records import NO_OBJECT, NO_RECORDS, explode_records
 from surveyflow.streaming.scorer import record_stream, start_scoring
 
 QUICK = TrainConfig(impute_rounds=3, l1_folds=3, l1_strengths=(0.01, 0.1), svm_features=40, svm_iterations=15, platt_folds=2)
@@ -165,7 +165,7 @@ def test_unusable_batches(spark, bundle, valid):
     bad = {**valid, "age": 99}
     with pytest.raises(validate.RowsRejected) as error:
         score_batch(batch(spark, bad, bad), bundle, ["index"])
-    assert [e["index"] for e in error.value.errors] == [0, 1] and error.value.total == 2
+    assert sorted(e["index"] for e in error.value.errors.collect()) == [0, 1] and error.value.total == 2
     with pytest.raises(validate.EmptyBatch):
         score_batch(batch(spark), bundle, ["index"])
 
@@ -219,12 +219,59 @@ def test_jobs_end_to_end(spark, sf, tmp_path, monkeypatch):
     write_csv(survey_raw(spark, sf).drop(KEY), str(tmp_path / "raw"))
     config = parse_job(["--root", str(tmp_path)], {})
     assert curate_job.run(spark, config) == {"read": 1500, "kept": 1352}
-    monkeypatch.setattr(train_job, "train", lambda df, keys: train(df, keys, config=QUICK))
+    monkeypatch.setattr(train_job, "train", lambda df, keys, config: train(df, keys, config=QUICK))
     trained = train_job.run(spark, config)
     assert spark.read.json(config.metrics_path).first().dataset_source == "imputed"
     (tmp_path / "requests").mkdir()
-    record = {k: v for k, v in survey_raw(spark, sf).first().asDict().items() if k in trained.raw_columns}
+    good = survey_curated(spark, sf, "imputed").select(KEY)
+    row = survey_raw(spark, sf).join(good, KEY, "left_semi").first()
+    record = {k: v for k, v in row.asDict().items() if k in trained.raw_columns}
     (tmp_path / "requests" / "r.json").write_text(json.dumps({"records": [record, {**record, "age": 99}]}))
-    scored, rejected = score_job.run(spark, config)
-    assert scored.count() + rejected.count() == 2
-    assert SURVEY_RULES.ranges[0].message in rejected.first().reasons
+    (tmp_path / "requests" / "lines.json").write_text(json.dumps({"records": [record]}) * 1 + "\n" + json.dumps({"records": [record]}) + "\n{broken}\n")
+    (tmp_path / "requests" / "pretty.json").write_text(json.dumps({"records": [record, 7, None, "x"]}, indent=2))
+    (tmp_path / "requests" / "empty.json").write_text('{"records": []}')
+    (tmp_path / "requests" / "other.json").write_text("[1, 2]")
+    outcome = score_job.run(spark, config)
+    scored, rejected, refused = (
+        [(r.body.rsplit("/", 1)[1], *r[1:]) for r in outcome[name].collect()] for name in ("scored", "rejected", "refused")
+    )
+    keys = {(body, index) for body, index, *_ in scored}
+    assert keys == {("r.json", 0), ("lines.json#0", 0), ("lines.json#1", 0), ("pretty.json", 0)} and len(scored) == 4
+    reasons = {(body, index): why for body, index, why in rejected}
+    assert reasons[("r.json", 1)] == [SURVEY_RULES.ranges[0].message]
+    assert {k for k, why in reasons.items() if why == [NO_OBJECT]} == {("pretty.json", 1), ("pretty.json", 2), ("pretty.json", 3)}
+    assert {k for k, why in reasons.items() if why == [NO_RECORDS]} == {("lines.json#2", None), ("empty.json", None), ("other.json", None)}
+    assert {(body, n) for body, n, _ in refused} == {("lines.json#2", 0), ("empty.json", 0), ("other.json", 0)}
+
+
+def test_keys_pass_untouched(spark, bundle, valid):
+    rows = [("NA", valid), ("?", valid), ("null", {**valid, "age": 99})]
+    frame = spark.createDataFrame([(k, json.dumps({"records": [r]})) for k, r in rows], "match_key string, body string")
+    records = explode_records(frame, "body", RULED, keys=["match_key"])
+    scored, rejected = score(records, bundle, ["match_key"])
+    assert sorted(r.match_key for r in scored.collect()) == ["?", "NA"]
+    assert [r.match_key for r in rejected.collect()] == ["null"]
+
+
+def test_paths_are_taken_literally(spark, tmp_path):
+    odd = tmp_path / "a[1]{x}"
+    (odd / "b*").mkdir(parents=True)
+    (odd / "b*" / "c.csv").write_text("x,y\n1,2\n")
+    spark.range(3).write.parquet(str(odd / "folder.csv"))
+    spark.range(4).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(str(odd / "parted"))
+    loaded = {}
+    audit = load_all(spark, str(odd), lambda df, name: loaded.setdefault(name, df.count()))
+    assert {r.table_name: r.format for r in discover(spark, str(odd)).collect()} == {"c": "csv", "folder_csv": "parquet", "parted": "parquet"}
+    assert loaded == {"c": 1, "folder_csv": 3, "parted": 4} and audit.count() == 3
+
+
+def test_loading_needs_a_database(spark, tmp_path):
+    from surveyflow.jobs import load_job
+
+    with pytest.raises(ValueError, match="database"):
+        load_job.run(spark, parse_job(["--root", str(tmp_path)], {}))
+
+
+def test_root_of_bucket_and_prefix():
+    assert parse_job(["--bucket", "b", "--prefix", "/x/y/"], {}).root == "s3a://b/x/y"
+    assert parse_job(["--bucket", "b"], {}).root == "s3a://b"

@@ -34,7 +34,7 @@ def test_range_reason_and_guard(valid_record):
     assert reasons_of(bad) == ["age must be between 18 and 55"]
     with pytest.raises(validate.RowsRejected) as error:
         validate.require_valid(bad, SURVEY_RULES, [KEY])
-    assert error.value.errors[0][KEY] == valid_record.first()[KEY]
+    assert error.value.errors.first()[KEY] == valid_record.first()[KEY]
     assert error.value.total == 1
     assert validate.require_valid(valid_record, SURVEY_RULES, [KEY]) is valid_record
 
