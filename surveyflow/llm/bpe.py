@@ -16,7 +16,6 @@ import base64
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -25,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from surveyflow.llm.common import slices, texts
+from surveyflow.llm.common import held, in_batches, slices, texts
 
 #: Bounds of what a Python worker remembers: pieces, their characters, and pairs of tokens.
 MOST_PIECES, LONGEST_PIECE, MOST_PAIRS = 500_000, 48, 500_000
@@ -193,12 +192,14 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-@lru_cache(maxsize=4)
 def vocabulary(path: str, pattern: str) -> Vocabulary:
-    """The vocabulary of a rank file, built once per Python worker."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return Vocabulary(ranks, pattern)
+    """The vocabulary of a rank file, kept by a Python worker until it works for another operator."""
+
+    def read() -> Vocabulary:
+        with open(path, "rb") as lines:
+            return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}, pattern)
+
+    return held(("ranks", path, pattern), read)
 
 
 def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -215,7 +216,7 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
 
     rows = texts(df, key, text)
     schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
-    return rows.mapInArrow(run, schema)
+    return in_batches(rows).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -234,4 +235,4 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 
     names = df.columns
     kept = [i for i, name in enumerate(names) if name != out]
-    return df.mapInArrow(run, StructType([*(df.schema.fields[i] for i in kept), StructField(out, BinaryType())]))
+    return in_batches(df).mapInArrow(run, StructType([*(df.schema.fields[i] for i in kept), StructField(out, BinaryType())]))

@@ -79,3 +79,17 @@ def learning_rows(
     if n > most:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n))
     return texts(docs, key, text).filter("text IS NOT NULL").join(F.broadcast(known), "doc_id")
+
+
+_held: dict = {}
+
+
+def held(name, make):
+    """What ``make`` gives, kept by this Python worker until something else is to be held.
+
+    Workers outlive tasks and serve one operator after another; each holds one large thing at most.
+    """
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]

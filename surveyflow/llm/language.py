@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
 from surveyflow.functions.cells import quoted
+from surveyflow.llm.common import held, in_batches
 
 UNKNOWN = "und"
 #: Hash buckets of trigrams; with many languages fewer, so that a model has at most MOST_CELLS numbers.
@@ -63,25 +64,26 @@ def count(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     rows = df.select(letters(text).alias("text"), quoted(lang).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        held("language", dict)
+        counts_of: dict[str, np.ndarray] = {}
 
         def sparse() -> Iterator[pa.RecordBatch]:
-            for name, counts in held.items():
+            for name, counts in counts_of.items():
                 at = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(at), pa.string()), pa.array(at.astype("i4")), pa.array(counts[at])], ["lang", "bucket", "n"]
                 )
-            held.clear()
+            counts_of.clear()
 
         for batch in batches:
             for text, name in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                if name not in held and len(held) == HELD_LANGUAGES:
+                if name not in counts_of and len(counts_of) == HELD_LANGUAGES:
                     yield from sparse()
-                counts = held.setdefault(name, np.zeros(BUCKETS, "i8"))
+                counts = counts_of.setdefault(name, np.zeros(BUCKETS, "i8"))
                 counts += np.bincount(trigrams(text.as_py(), BUCKETS), minlength=BUCKETS)
         yield from sparse()
 
-    return rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return in_batches(rows).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 class Languages:
@@ -185,13 +187,14 @@ def identify(df: DataFrame, model: Languages, key: str = "doc_id", text: str = "
     rows = df.select(quoted(key).alias("doc_id"), _letters(text).alias("letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("language", dict)
         for batch in batches:
             names, scores, shares = zip(*_predicted(batch.column(1), model), strict=True) if batch.num_rows else ((), (), ())
             columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "shares"])
 
     fields = [("lang_pred", StringType()), ("score", DoubleType()), ("shares", MapType(StringType(), DoubleType()))]
-    return rows.mapInArrow(run, StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in fields)]))
+    return in_batches(rows).mapInArrow(run, StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in fields)]))
 
 
 def keep(df: DataFrame, model: Languages, text: str = "text", least: float = LEAST_SHARE) -> DataFrame:
@@ -199,12 +202,13 @@ def keep(df: DataFrame, model: Languages, text: str = "text", least: float = LEA
     columns = len(df.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("language", dict)
         for batch in batches:
             good = [name != UNKNOWN and share >= least for name, share, _ in _predicted(batch.column(columns), model)]
             rows = pa.RecordBatch.from_arrays(batch.columns[:columns], batch.schema.names[:columns])
             yield rows.filter(pa.array(good, pa.bool_()))
 
-    return df.select("*", _letters(text).alias("letters of the text")).mapInArrow(run, df.schema)
+    return in_batches(df.select("*", _letters(text).alias("letters of the text"))).mapInArrow(run, df.schema)
 
 
 def _parts(texts: list[str]) -> Iterator[list[str]]:

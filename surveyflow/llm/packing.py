@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +24,11 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from surveyflow.functions.cells import quoted
 from surveyflow.llm.bpe import LONGEST_PIECE, Memo, PieceCoder
-from surveyflow.llm.common import slices, texts
+from surveyflow.llm.common import held, in_batches, slices, texts
 
 CAPACITY = 2048
 #: Bound of the pieces a Python worker remembers, some 300 MB.
-MOST_PIECES = 1_500_000
+MOST_PIECES = 1_400_000
 #: Pieces packed together; shares of the input per task are about four times as large.
 GROUP = 16384
 #: Share of tokens, documents and attention cost in the fit.
@@ -79,9 +78,9 @@ class Tokens:
         return self.coder.packed(text) if text else b""
 
 
-@lru_cache(maxsize=4)
 def tokens(path: str) -> Tokens:
-    return Tokens(path)
+    """A tokenizer, kept by a Python worker until it works for another operator."""
+    return held(("tokenizer", path), lambda: Tokens(path))
 
 
 def pieces(
@@ -112,7 +111,7 @@ def pieces(
 
     rows = texts(df, key, text)
     fields = [("piece", IntegerType()), ("start", LongType()), ("length", LongType()), ("ids", BinaryType())]
-    return rows.mapInArrow(run, StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in fields)]))
+    return in_batches(rows).mapInArrow(run, StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in fields)]))
 
 
 def best_fit(
@@ -177,31 +176,32 @@ def pack(
     shares = max(1, -(-rows.count() // (4 * group)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("packing", dict)  # lets go of the tokenizer
         number = TaskContext.get().partitionId() << 33
 
-        def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(group_rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nonlocal number
-            part = pa.Table.from_batches(held).combine_chunks()
+            part = pa.Table.from_batches(group_rows).combine_chunks()
             where, offset, used = best_fit(part.column(length).to_numpy(), limits, rule=rule)
             part = part.append_column("sequence_id", pa.array(where + number)).append_column("offset", pa.array(offset))
             number += used
             yield from part.to_batches()
 
-        held: list[pa.RecordBatch] = []
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
             while batch.num_rows:
-                room = group - sum(b.num_rows for b in held)
-                held.append(batch.slice(0, room))
+                room = group - sum(b.num_rows for b in waiting)
+                waiting.append(batch.slice(0, room))
                 batch = batch.slice(room)
-                if sum(b.num_rows for b in held) == group:
-                    yield from packed(held)
-                    held = []
-        if held:
-            yield from packed(held)
+                if sum(b.num_rows for b in waiting) == group:
+                    yield from packed(waiting)
+                    waiting = []
+        if waiting:
+            yield from packed(waiting)
 
     columns = [quoted(c) for c in rows.columns]
     dealt = rows.repartition(shares, F.xxhash64(*columns)).sortWithinPartitions(*columns)
     schema = StructType([*rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return dealt.mapInArrow(run, schema)
+    return in_batches(dealt).mapInArrow(run, schema)
 
 

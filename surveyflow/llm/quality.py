@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from surveyflow.llm.common import learning_rows, slices, texts
+from surveyflow.llm.common import held, in_batches, learning_rows, slices, texts
 
 #: Bound of the learning rows.
 MOST_ROWS = 20_000
@@ -178,12 +178,13 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
 
 def _described(rows: DataFrame, extra: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("quality", dict)
         for batch in slices(batches):
             found = [describe(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in extra), pa.array(found, pa.list_(pa.float64()))], [*extra, "x"])
 
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in extra)
-    return rows.select(*extra, "text").mapInArrow(run, f"{kinds}, x array<double>")
+    return in_batches(rows.select(*extra, "text")).mapInArrow(run, f"{kinds}, x array<double>")
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = MOST_ROWS) -> Additive:
@@ -198,10 +199,11 @@ def score(docs: DataFrame, model: Additive, key: str = "doc_id", text: str = "te
     """doc_id, score (chance of label 1) and predicted (1 from ``threshold``) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("quality", dict)
         for batch in slices(batches, 1024):
             x = np.array([describe(t) for t in batch.column(1).to_pylist()]).reshape(-1, len(NAMES))
             chance = model.score(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance), pa.array((chance >= threshold).astype("i4"))], ["doc_id", "score", "predicted"])
 
     rows = texts(docs, key, text)
-    return rows.mapInArrow(run, StructType([rows.schema["doc_id"], StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
+    return in_batches(rows).mapInArrow(run, StructType([rows.schema["doc_id"], StructField("score", DoubleType()), StructField("predicted", IntegerType())]))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from surveyflow.functions.cells import quoted
-from surveyflow.llm.common import stored, texts
+from surveyflow.llm.common import held, in_batches, stored, texts
 from surveyflow.llm.components import components
 
 WORDS = 4
@@ -58,12 +58,13 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words:
     """doc_id and fingerprint (long, two's complement) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("simhash", dict)
         for batch in batches:
             prints = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], "u8").view("i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "fingerprint"])
 
     rows = texts(df, key, text)
-    return rows.mapInArrow(run, StructType([rows.schema["doc_id"], StructField("fingerprint", LongType())]))
+    return in_batches(rows).mapInArrow(run, StructType([rows.schema["doc_id"], StructField("fingerprint", LongType())]))
 
 
 def keyed(prints: DataFrame) -> DataFrame:
@@ -230,7 +231,7 @@ def links(prints: DataFrame, radius: int = RADIUS, part: int = PART) -> DataFram
         if len(held):
             yield linked(held)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return in_batches(dealt).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from surveyflow.functions.cells import quoted
-from surveyflow.llm.common import stored
+from surveyflow.llm.common import in_batches, stored
 
 K = 20
 SCALE = 64
@@ -82,7 +82,7 @@ def blocks(df: DataFrame, size: int) -> DataFrame:
         if n:
             yield block(pa.Table.from_batches(held))
 
-    return df.mapInArrow(run, BLOCK)
+    return in_batches(df).mapInArrow(run, BLOCK)
 
 
 def _pairs(queries: DataFrame, rows: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def cutoffs(pairs: DataFrame, k: int = K) -> DataFrame:
                 first = order[rank < k]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at + q[first]]), pa.array(score[first])], ["query_id", "score"])
 
-    scores = pairs.mapInArrow(run, "query_id long, score long")
+    scores = in_batches(pairs).mapInArrow(run, "query_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
     return scores.withColumn("rank", rank).filter(F.col("rank") <= k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff"))
 
@@ -180,7 +180,7 @@ def entries(pairs: DataFrame) -> DataFrame:
                     [pa.array(ids[q[good] + at]), pa.array(row_ids[r[good]]), pa.array(score[good])], ["query_id", "vec_id", "score"]
                 )
 
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    return in_batches(pairs).mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:

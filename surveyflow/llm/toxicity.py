@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from surveyflow.llm.bpe import Memo
-from surveyflow.llm.common import learning_rows, texts
+from surveyflow.llm.common import held, in_batches, learning_rows, texts
 
 #: Bound of the learning rows, and of the features of the model.
 MOST_ROWS, MOST_FEATURES = 20_000, 4096
@@ -109,12 +109,13 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = learning_rows(docs, labels, label, most, key, text)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity", dict)
         memo = Memo(_hashed, MOST_WORDS, LONGEST_WORD)
         for batch in batches:
             found = [list(features(t, memo)[0]) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["label", "found"])
 
-    seen = rows.select("doc_id", "text", "label").mapInArrow(counted, "label int, found array<int>")
+    seen = in_batches(rows.select("doc_id", "text", "label")).mapInArrow(counted, "label int, found array<int>")
     sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = sum(n for k, n in sizes.items() if k > 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -128,6 +129,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     telling = {r.feature for r in best if (r.a / toxic) > 20 * ((r.b + 0.5) / clean)}
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity", dict)
         memo = Memo(lambda word: tuple(f for f in _hashed(word) if f in kept), MOST_WORDS, LONGEST_WORD)
         for batch in batches:
             ids, names, values, words = batch.column(0), [], [], []
@@ -141,7 +143,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     schema = StructType([rows.schema["doc_id"], *(StructField("label", IntegerType()),)])
     text_schema = f"doc_id {schema['doc_id'].dataType.simpleString()}, label int, names array<int>, counts array<int>, words int"
-    sample = sorted(rows.select("doc_id", "text", "label").mapInArrow(chosen, text_schema).collect())
+    sample = sorted(in_batches(rows.select("doc_id", "text", "label")).mapInArrow(chosen, text_schema).collect())
     density = np.array([sum(c for f, c in zip(r.names, r.counts, strict=True) if f in telling) / max(1, r.words) for r in sample])
     is_toxic = np.array([r.label > 0 for r in sample])
     middle = np.median(density[is_toxic]) if is_toxic.any() else 0.0
@@ -156,6 +158,7 @@ def score(docs: DataFrame, model: Severity, key: str = "doc_id", text: str = "te
     """doc_id, expected_severity, grade (the likeliest), score (P(grade > 0)) and toxic (score >= 1/2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity", dict)
         memo = Memo(lambda word: tuple(f for f in _hashed(word) if f in model.weights), MOST_WORDS, LONGEST_WORD)
         for batch in batches:
             x = np.zeros(batch.num_rows)
@@ -169,4 +172,4 @@ def score(docs: DataFrame, model: Severity, key: str = "doc_id", text: str = "te
 
     rows = texts(docs, key, text)
     fields = [("expected_severity", DoubleType()), ("grade", IntegerType()), ("score", DoubleType()), ("toxic", BooleanType())]
-    return rows.mapInArrow(run, StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in fields)]))
+    return in_batches(rows).mapInArrow(run, StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in fields)]))
