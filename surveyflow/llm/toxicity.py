@@ -35,7 +35,7 @@ MOST_ROWS, MOST_FEATURES = 20_000, 4096
 BUCKETS = 1 << 20
 #: First letters that are features of longer words, and toxic documents a feature must occur in.
 PREFIXES, SUPPORT = (4, 5), 4
-PENALTY, ROUNDS = 1e-3, 400
+PENALTY, ROUNDS = 1e-4, 400
 WORD = re.compile(r"\w+")
 MOST_WORDS, LONGEST_WORD = 300_000, 40
 
