@@ -61,8 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 
 def narrow_side(df: DataFrame, most_rows: int) -> DataFrame:
     """``df``, of a few narrow columns, to be broadcast if it has at most ``most_rows`` rows; else as it is."""
-    few = df.limit(most_rows + 1).count() <= most_rows
-    return F.broadcast(df) if few else df.hint("merge")
+    return F.broadcast(df) if df.count() <= most_rows else df.hint("merge")
 
 
 def learning_rows(
