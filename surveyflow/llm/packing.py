@@ -27,8 +27,8 @@ from surveyflow.llm.bpe import LONGEST_PIECE, Memo, PieceCoder
 from surveyflow.llm.common import held, in_batches, slices, texts
 
 CAPACITY = 2048
-#: Bound of the pieces a Python worker remembers, some 300 MB.
-MOST_PIECES = 1_400_000
+#: Bound of the pieces a Python worker remembers, some 200 bytes each.
+MOST_PIECES = 1_800_000
 #: Pieces packed together; shares of the input per task are about four times as large.
 GROUP = 16384
 #: Share of tokens, documents and attention cost in the fit.
@@ -43,7 +43,7 @@ class Tokens:
     do all texts of other kinds of tokenizers.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = MOST_PIECES):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -56,8 +56,8 @@ class Tokens:
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
         hidden = [b for b in range(256) if b not in visible]
         self.shown = {b: 256 + i for i, b in enumerate(hidden)}
-        self.pieces = Memo(self.piece, MOST_PIECES // 8, LONGEST_PIECE)
-        self.coder = PieceCoder(self.chunk, self.whole, self.letters, MOST_PIECES) if self.known else None
+        self.pieces = Memo(self.piece, remember // 8, LONGEST_PIECE)
+        self.coder = PieceCoder(self.chunk, self.whole, self.letters, remember) if self.known else None
 
     def piece(self, piece: str) -> bytes:
         ids = [token.id for token in self.model.tokenize(piece)]
@@ -78,22 +78,29 @@ class Tokens:
         return self.coder.packed(text) if text else b""
 
 
-def tokens(path: str) -> Tokens:
+def tokens(path: str, remember: int = MOST_PIECES) -> Tokens:
     """A tokenizer, kept by a Python worker until it works for another operator."""
-    return held(("tokenizer", path), lambda: Tokens(path))
+    return held(("tokenizer", path, remember), lambda: Tokens(path, remember))
 
 
 def pieces(
-    df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0
+    df: DataFrame,
+    tokenizer: str,
+    key: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    end_id: int = 0,
+    remember: int = MOST_PIECES,
 ) -> DataFrame:
     """doc_id, piece, start, length and ids (packed unsigned 32-bit, little-endian) of every document.
 
     A document is its ids and ``end_id``. One longer than ``capacity`` is cut into pieces of just
     that length, the first being the shorter one. ``tokenizer``: path of a tokenizer file.
+    ``remember``: pieces that a worker keeps, more for speed and fewer for memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, last = tokens(tokenizer), np.array([end_id], "<u4").tobytes()
+        coder, last = tokens(tokenizer, remember), np.array([end_id], "<u4").tobytes()
         for batch in slices(batches):
             row, number, start, length, ids = [], [], [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
@@ -176,7 +183,6 @@ def pack(
     shares = max(1, -(-rows.count() // (4 * group)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held("packing", dict)  # lets go of the tokenizer
         number = TaskContext.get().partitionId() << 33
 
         def packed(group_rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
