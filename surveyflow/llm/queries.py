@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return line_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_id")
 
 
 @query("op2_sharding")

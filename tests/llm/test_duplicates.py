@@ -237,3 +237,19 @@ def test_simhash_of_odd_rows(odd, nothing):
     ids = sorted(str(r.doc_id) for r in kept.collect())
     assert ids == ["1", "4", "6", "7", "8", "9", "None"]
     assert simhash.keep_first(nothing).count() == 0
+
+
+def test_line_verdicts_belong_to_rows(spark):
+    rows = [
+        (None, "first of one\nsecond of one"),
+        (None, "alone in two\nfirst of one"),
+        (None, "alone in three\nalso in three"),
+        (1, "words of a\nmore of a"),
+        (1, "words of b\nmore of a"),
+        (1, "words of c\nlast of c"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = line_dedup.drop_lines(frame, line_dedup.near_duplicates(frame)).collect()
+    texts = sorted(r.text for r in left)
+    assert sorted(x for t in texts for x in t.split("\n")) == sorted({x for _, t in rows for x in t.split("\n")})
+    assert {rows[2][1], rows[5][1]} <= set(texts) and len(texts) == 6
