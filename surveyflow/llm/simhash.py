@@ -54,17 +54,22 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashed), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """doc_id and fingerprint (long, two's complement) of every row."""
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, with_text_id: bool = False) -> DataFrame:
+    """doc_id and fingerprint (long, two's complement) of every row, and if asked for the hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held("simhash", dict)
         for batch in batches:
             prints = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "fingerprint"])
+            more = batch.columns[2:]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), *more], ["doc_id", "fingerprint", "text_id"][: 2 + len(more)])
 
     rows = texts(df, key, text)
-    return in_batches(rows).mapInArrow(run, StructType([rows.schema["doc_id"], StructField("fingerprint", LongType())]))
+    fields = [rows.schema["doc_id"], StructField("fingerprint", LongType())]
+    if with_text_id:
+        rows = rows.withColumn("text_id", F.xxhash64("text"))
+        fields.append(StructField("text_id", LongType()))
+    return in_batches(rows).mapInArrow(run, StructType(fields))
 
 
 def keyed(prints: DataFrame) -> DataFrame:
@@ -234,17 +239,27 @@ def links(prints: DataFrame, radius: int = RADIUS, part: int = PART) -> DataFram
     return in_batches(dealt).mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the smallest id that links reach."""
-    rows = stored(fingerprints(df, key, text, words), "fingerprints")
-    prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+def _named(prints: DataFrame, radius: int) -> DataFrame:
+    """(fingerprint, component, component_id): a fingerprint that stands for the component, and the smallest id in it.
+
+    ``prints``: fingerprint and ``least``, the smallest id that has it.
+    """
     tied = components(links(stored(prints.select("fingerprint"), "distinct"), radius), "simhash")
     tied = tied.withColumnRenamed("node", "fingerprint")
     members = tied.union(tied.select(F.col("component").alias("fingerprint"), "component").distinct())
     members = members.join(prints, "fingerprint")
     smallest = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = members.join(smallest, "component").select("fingerprint", "component_id")
-    named = prints.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "least").alias("component_id"))
+    named = members.join(smallest, "component").select("fingerprint", "component", "component_id")
+    named = prints.join(named, "fingerprint", "left")
+    return named.select(
+        "fingerprint", F.coalesce("component", "fingerprint").alias("component"), F.coalesce("component_id", "least").alias("component_id")
+    )
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the smallest id that links reach."""
+    rows = stored(fingerprints(df, key, text, words), "fingerprints")
+    named = _named(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), radius).drop("component")
     named = stored(named, "named")  # a plain join of two tables: Spark can split a fingerprint that very many rows share
     return rows.join(named, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
@@ -252,9 +267,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
 
 def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``df`` with one row of each component, that of the smallest id; rows without an id stay."""
-    named = near_duplicates(df, key, text, words, radius)
-    first = stored(named.filter("doc_id = component_id").select(F.col("doc_id").alias("smallest id")).distinct(), "firsts")
-    own = df.filter(quoted(key).isNotNull())
-    kept = own.join(first, quoted(key) == F.col("smallest id"), "left_semi").dropDuplicates([key])
-    return kept.union(df.filter(quoted(key).isNull()))
+    """``df`` with one row of each component: that of the smallest id, a null id last, then of the least text hash.
+
+    Rows equal in id and text are one; which of them stays is open where further columns differ.
+    """
+    rows = stored(fingerprints(df, key, text, words, with_text_id=True), "fingerprints")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id"))
+    prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"), best.alias("best"))
+    prints = stored(prints, "prints")
+    named = _named(prints.select("fingerprint", "least"), radius)
+    first = prints.join(named, "fingerprint").groupBy("component").agg(F.min("best").alias("best"))
+    first = stored(first.select(F.col("best.doc_id").alias("_key"), F.col("best.text_id").alias("_text")).distinct(), "firsts")
+    own = df.withColumn("_own", F.xxhash64(quoted(text).cast("string")))
+    kept = own.join(first, quoted(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_text")), "left_semi")
+    return kept.dropDuplicates([key, "_own"]).drop("_own")

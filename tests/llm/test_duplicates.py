@@ -253,3 +253,12 @@ def test_line_verdicts_belong_to_rows(spark):
     texts = sorted(r.text for r in left)
     assert sorted(x for t in texts for x in t.split("\n")) == sorted({x for _, t in rows for x in t.split("\n")})
     assert {rows[2][1], rows[5][1]} <= set(texts) and len(texts) == 6
+
+
+def test_one_row_of_each_component_stays(spark):
+    one, two, three = ("first words alone here", "quite another text it is", "zebra yak xenon walrus")
+    rows = [(5, one), (5, two), (7, two), (None, three), (None, three), (None, one), (8, one), (9, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 5):
+        kept = simhash.keep_first(frame.repartition(parts)).collect()
+        assert sorted(kept, key=str) == sorted([(5, one), (5, two), (None, three), (9, None)], key=str)
