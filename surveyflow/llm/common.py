@@ -31,6 +31,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(df: DataFrame, name: str) -> DataFrame:
+    """As ``stored``; the shuffle files behind it, large ones, go at once and not at some later collection."""
+    kept = stored(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return kept
+
+
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text alone, so that further columns can neither clash nor be read."""
     return df.select(quoted(key).alias("doc_id"), quoted(text).cast("string").alias("text"))

@@ -262,3 +262,42 @@ def test_one_row_of_each_component_stays(spark):
     for parts in (1, 5):
         kept = simhash.keep_first(frame.repartition(parts)).collect()
         assert sorted(kept, key=str) == sorted([(5, one), (5, two), (None, three), (9, None)], key=str)
+
+
+def test_wide_band():
+    pick = random.Random(3)
+    for most in (0, 1, 7, 9, 40):
+        for _ in range(40):
+            a = "".join(pick.choice("abcé😀") for _ in range(pick.randint(1, 160)))
+            b = list(a)
+            for _ in range(pick.randint(0, most + 3)):
+                at = pick.randrange(len(b) + 1)
+                b[at : at + pick.randint(0, 1)] = pick.choice(["", "q", "é"])
+            x, y = sorted([a, "".join(b)], key=len)
+            assert edit.within_wide(x, y, most) == (distance(x, y) <= most)
+
+
+def test_edits_grow_with_length(spark):
+    pick, rows = random.Random(9), []
+    for k, size in enumerate((12, 17, 31, 90, 149, 151, 186, 240, 700)):
+        base = "".join(pick.choice("abcdefgh ") for _ in range(size - 2)).join("xx")
+        most = line_dedup.allowed(size)
+        for n in range(5):
+            some = list(base)
+            for place in range(most + (n == 4)):  # evenly spread, as far apart as can be
+                at = (place + 1) * size // (most + 2)
+                some[at : at + (n != 1)] = "é" + str(n) * (n > 1 and place % 2)
+            rows.append((10 * k + n, "".join(some)))
+        rows.append((10 * k + 9, base))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    distinct = sorted({line.strip() for _, line in rows}, key=lambda x: (len(x), x))
+    links = {x: 0 for x in distinct}
+    for i, a in enumerate(distinct):
+        for b in distinct[i + 1 :]:
+            most = line_dedup.allowed(len(a))
+            if len(b) - len(a) <= most and distance(a, b) <= most:
+                links[a] += 1
+                links[b] += 1
+    found = {r.doc_id: r.n_links for r in line_dedup.near_duplicates(frame).collect()}
+    assert found == {i: links[x.strip()] for i, x in rows}
+    assert all(any(found[10 * k + n] for n in range(5)) for k in range(1, 9))
