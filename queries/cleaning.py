@@ -108,6 +108,30 @@ def _(spark, d):
     return clean.to_numeric(survey_raw(spark, d), text_columns=["gender"])
 
 
+# Each cell of odd text is a spelling around the age and the order key: suffixes, words, exponents, signs, blanks.
+ODD = [
+    ("suffix_d", "concat(age, 'd')"), ("suffix_f", "concat(k, 'F')"), ("word", "CASE WHEN k%2=0 THEN 'Infinity' ELSE '-inf' END"),
+    ("nan_word", "CASE WHEN k%3=0 THEN 'NaN' ELSE age END"), ("huge", "concat(k%9+1, 'e', k%7*100)"), ("tiny", "concat('-', k%9+1, 'E-', k%7*60)"),
+    ("no_lead", "concat('.', k)"), ("no_tail", "concat(k, '.')"), ("blanks", "concat('  +', k, ' ')"), ("comma", "concat(k, ',5')"),
+    ("hexadecimal", "concat('0x', k)"), ("empty", "CASE WHEN k%2=0 THEN '' ELSE ' ' END"), ("missing", "CASE WHEN k%2=0 THEN NULL ELSE age END"),
+]
+ODD_SELECT = f"SELECT k AS {KEY}, {', '.join(f'{x} AS {c}' for c, x in ODD)} FROM (SELECT {KEY} AS k, age FROM {{0}}) o"
+ODD_NUMBER = "regexp_full_match({0}, '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*')"
+
+
+@query(
+    "q_to_numeric_odd",
+    f"WITH {raw_cte()}, odd AS ({ODD_SELECT.format('survey_raw')}) SELECT {KEY}, "
+    + ", ".join(
+        f"CASE WHEN {ODD_NUMBER.format(c)} AND isfinite(TRY_CAST({c} AS DOUBLE)) THEN TRY_CAST({c} AS DOUBLE) END AS {c}"
+        for c, _ in ODD
+    )
+    + " FROM odd",
+)
+def _(spark, d):
+    return clean.to_numeric(spark.sql(ODD_SELECT.format("{raw}"), raw=survey_raw(spark, d)))
+
+
 @query(
     "q_drop_sparse",
     f"""WITH {raw_cte()}, t AS (SELECT {KEY}, {', '.join(

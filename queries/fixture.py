@@ -70,9 +70,15 @@ def raw_sql(spark: bool = False) -> str:
     return f"SELECT {body}\nFROM (SELECT o_orderkey AS k FROM {{orders}}) o"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files are too few for that: keys of 8 bytes move, not what is made of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw survey as a lazy plan over ``orders``."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
     return spark.sql(raw_sql(spark=True), orders=orders)
 
 

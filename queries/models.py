@@ -68,7 +68,7 @@ def _(spark, d):
     ageless = F.to_json(F.struct(*[quoted(c) for c in RULED if c != "age"], F.lit("ignored").alias("other")))
     body = F.concat(F.lit('{"records":['), F.concat_ws(",", as_is, too_old, ageless), F.lit("]}"))
     records = explode_records(raw.select(KEY, body.alias("body")), "body", RULED, keys=[KEY])
-    cleaned = clean.clean_cells(records, SURVEY_RULES)
+    cleaned = clean.bind(clean.clean_cells(records, SURVEY_RULES), RULED)
     found = validate.with_reasons(cleaned, SURVEY_RULES)
     return found.select(KEY, "index", F.concat_ws("; ", "reasons").alias("reasons"))
 
@@ -94,7 +94,7 @@ def _(spark, d):
     bodies = F.explode(F.create_map(*[x for kind, body in kinds.items() for x in (F.lit(kind), body)])).alias("kind", "body")
     records = read_records(raw.select(KEY, bodies), "body", RULED, keys=[KEY, "kind"])
     keys = [KEY, "kind", "index"]
-    cleaned = clean.clean_cells(readable(records), SURVEY_RULES, keys=keys)
+    cleaned = clean.bind(clean.clean_cells(readable(records), SURVEY_RULES, keys=keys), RULED)
     found = validate.with_reasons(cleaned, SURVEY_RULES).select(*keys, "reasons").union(unreadable(records, keys))
     return found.select(*keys, F.concat_ws("; ", "reasons").alias("reasons"))
 

@@ -41,9 +41,13 @@ NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def to_number(cell: Column, numeric_type: str = "double") -> Column:
-    """Text to number; what does not parse, or is too large for a finite number, is NULL."""
-    value = F.when(cell.rlike(NUMBER), cell.try_cast(numeric_type))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    """Text to number; what does not parse, or is too large for a finite number, is NULL.
+
+    The pattern is tested once per cell; the operand named twice is the cheap cast.
+    """
+    value = cell.try_cast(numeric_type)
+    finite = F.abs(value.cast("double")) < F.lit(float("inf"))
+    return F.when(cell.rlike(NUMBER) & finite, value)
 
 
 def table_name(text: Column) -> Column:

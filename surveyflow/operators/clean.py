@@ -13,6 +13,10 @@ from surveyflow.functions.names import unique_names
 from surveyflow.rules import LOADER_TOKENS, MISSING_TOKENS, RuleSet
 
 
+#: Name of the struct that holds bound cells for the length of one operator.
+BOUND = "__bound_cells"
+
+
 def encode_binary(df: DataFrame, column: str, mapping: dict[str, int]) -> DataFrame:
     """Replace a two-valued text column by its integer codes, where it exists."""
     if column not in df.columns:
@@ -75,6 +79,21 @@ def clean_cells(
     return df.select([cell(f).alias(f.name) for f in df.schema if f.name in keys or f.name not in rules.sparse_columns])
 
 
+def bind(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same rows with ``columns`` computed once, whatever filters and projections follow.
+
+    A filter above a plain projection is pushed below it with every expression written out again at
+    each mention. These cells pass as one struct through a generator of one row, which filters
+    do not cross. Other columns go around it, so that those nobody asks for are still not read.
+    """
+    if not columns:
+        return df
+    chosen, around = set(columns), [quoted(c) for c in df.columns if c not in set(columns)]
+    cells = F.struct(*[quoted(c) for c in df.columns if c in chosen])
+    held = df.select(*around, cells.alias(BOUND))
+    return held.select(*around, F.inline(F.array(quoted(BOUND)))).select(*[quoted(c) for c in df.columns])
+
+
 def drop_columns(df: DataFrame, *columns: str) -> DataFrame:
     """Drop the columns that exist."""
     return df.drop(*[name for name in columns if name in df.columns])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from surveyflow.operators.clean import clean_cells, column_kinds
+from surveyflow.operators.clean import bind, clean_cells, column_kinds
 from surveyflow.operators.validate import complete_cases, valid_rows
 from surveyflow.rules import SURVEY_RULES, RuleSet
 
@@ -29,6 +29,7 @@ def curate(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    kept = valid_rows(clean_cells(df, rules, text_columns, numeric_type, keys, number_columns), rules)
-    numbers, _other = column_kinds(kept, exclude=keys)
+    cleaned = clean_cells(df, rules, text_columns, numeric_type, keys, number_columns)
+    numbers, _other = column_kinds(cleaned, exclude=keys)
+    kept = valid_rows(bind(cleaned, numbers), rules)
     return complete_cases(kept, numbers) if mode == "dropped" else kept

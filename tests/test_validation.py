@@ -131,3 +131,36 @@ def test_wide_plan_is_narrow_and_pruned(spark, sf):
     text = means._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<like:double,match:int>" in text
     assert quoted("like") is not None and len(IMPORTANCE_COLUMNS) == 6
+
+
+def optimized(df):
+    df.sparkSession.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("mode", ["imputed", "dropped"])
+def test_curation_parses_each_cell_once(spark, sf, mode):
+    raw = survey_raw(spark, sf)
+    texts = [f.name for f in raw.schema if f.dataType.simpleString() == "string" and f.name in SURVEY_RULES.columns]
+    plan = optimized(curate(raw, mode))
+    assert plan.count("RLIKE") == len([c for c in texts if c not in SURVEY_RULES.binary])
+    one = optimized(curate(raw, mode).select("age"))
+    assert one.count("RLIKE") <= len(texts)
+
+
+def test_records_parse_once(spark):
+    from surveyflow.sources.records import read_records
+
+    bodies = spark.createDataFrame([(1, '{"records":[{"age":"20"},3,{"age":"x"}]}')], "k int, body string")
+    found = read_records(bodies, "body", ["age", "wave"], keys=["k"]).filter("problem IS NULL AND age > 1")
+    assert optimized(found).count("from_json") == 2  # the body, then each element
+    rows = read_records(bodies, "body", ["age", "wave"], keys=["k"]).orderBy("index").collect()
+    assert [(r["index"], r.age, r.problem is None) for r in rows] == [(0, "20", True), (1, None, False), (2, "x", True)]
+
+
+def test_bound_cells_keep_rows_order_and_other_columns(spark):
+    df = spark.sql("SELECT id AS k, cast(id AS string) AS `a.b`, if(id = 1, NULL, id * 2) AS c, array(id) AS d FROM range(3)")
+    once = clean.bind(df, ["a.b", "c"])
+    assert once.columns == df.columns and once.collect() == df.collect()
+    assert clean.bind(df, []) is df
+    assert clean.bind(df.limit(0), ["c"]).count() == 0
