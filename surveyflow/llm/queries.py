@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm import bpe, language, line_dedup, packing, quality, quality_rules, sharding, simhash, topk, toxicity
+from surveyflow.llm import bpe, language, line_dedup, packing, quality, quality_rules, sharding, simhash, topk, toxicity, vector_codes
 from surveyflow.llm.common import id_crc, shared_path, stored, table
 
 QUERIES = {}
@@ -122,3 +122,43 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return judged.select(*base, "llr")
+
+
+VECTOR_CODES_SQL = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+  SELECT vec_id, label, part, v[4*part+1] AS a, v[4*part+2] AS b, v[4*part+3] AS c, v[4*part+4] AS d
+  FROM kept, range(16) r(part)
+), c0 AS MATERIALIZED (
+  SELECT part, e, a, b, c, d FROM points JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) s USING (vec_id)
+)
+""" + "".join(
+    f""", a{n} AS MATERIALIZED (
+  SELECT vec_id, label, p.part, p.a, p.b, p.c, p.d,
+    min(((p.a-q.a)*(p.a-q.a) + (p.b-q.b)*(p.b-q.b) + (p.c-q.c)*(p.c-q.c) + (p.d-q.d)*(p.d-q.d))::HUGEINT * 64 + e) AS best
+  FROM points p JOIN c{n} q USING (part) GROUP BY ALL
+), c{n + 1} AS MATERIALIZED (
+  SELECT q.part, q.e, coalesce(n.a, q.a) AS a, coalesce(n.b, q.b) AS b, coalesce(n.c, q.c) AS c, coalesce(n.d, q.d) AS d
+  FROM c{n} q LEFT JOIN (
+    SELECT part, best % 64 AS e, {', '.join(f'((sum({x}) - ((sum({x}) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS {x}' for x in 'abcd')}
+    FROM a{n} GROUP BY ALL) n USING (part, e)
+)
+"""
+    for n in range(3)
+) + """, rows AS (
+  SELECT vec_id, label, string_agg(format('{:02x}', (best % 64)::INTEGER), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error
+  FROM a2 GROUP BY ALL
+), book AS (
+  SELECT sha256(string_agg(concat_ws(',', a, b, c, d), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM rows, book
+"""
+
+
+@query("op13_vector_codes", VECTOR_CODES_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
