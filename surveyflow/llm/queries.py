@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm import bpe, language, line_dedup, packing, quality, quality_rules, sharding, simhash, topk, toxicity, vector_codes
+from surveyflow.llm import (
+    bpe, language, line_dedup, packing, quality, quality_rules, ranked, sharding, simhash, topk, toxicity, vector_codes, warc,
+)
 from surveyflow.llm.common import id_crc, shared_path, stored, table
 
 QUERIES = {}
@@ -162,3 +164,55 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 @query("op13_vector_codes", VECTOR_CODES_SQL)
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+PAGES_SQL = """
+WITH p AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+    row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id) AS n,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND n > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND n > 1 THEN first END AS refers_to
+FROM p
+"""
+
+
+@query("op12_warc", PAGES_SQL)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(warc.pages_to_records(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"), path)
+    with warc.pushdown(spark):
+        return stored(warc.page_rows(spark, path).drop("stated_digest"), "warc-pages")
+
+
+RANKED_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL
+), n AS (SELECT r, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0),
+s AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS l FROM n),
+q AS (
+  SELECT item_id, term, count(*)::BIGINT AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), p AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, big_n),
+x AS (
+  SELECT item_id, doc_id, n.r, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // l))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN n USING (r), s GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op11_ranked_search", RANKED_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
