@@ -161,16 +161,18 @@ def _(spark, d):
 @query(
     "q_auc_by_group",
     """WITH s AS (SELECT l.quality AS y, CAST(n_chars AS DOUBLE) AS score, lang FROM labels l
-  JOIN documents d ON l.doc_id = d.doc_id)
-SELECT p.lang, round(sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0 END)
-  / count(*), 6)::DOUBLE AS auc
-FROM s p JOIN s n ON p.lang = n.lang WHERE p.y = 1 AND n.y = 0 GROUP BY 1""",
+  JOIN documents d ON l.doc_id = d.doc_id WHERE l.quality IS NOT NULL AND n_chars IS NOT NULL),
+g AS (SELECT lang, count_if(y = 1) AS p, count_if(y = 0) AS n FROM s GROUP BY 1),
+w AS (SELECT p.lang, sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0 END) AS won
+  FROM s p JOIN s n ON p.lang IS NOT DISTINCT FROM n.lang WHERE p.y = 1 AND n.y = 0 GROUP BY 1)
+SELECT g.lang, CASE WHEN p * n > 0 THEN round(won / (p * n), 6)::DOUBLE END AS auc
+FROM g LEFT JOIN w ON g.lang IS NOT DISTINCT FROM w.lang""",
 )
 def _(spark, d):
     labels = spark.read.parquet(f"{d}/labels.parquet")
     documents = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "n_chars", "lang")
     areas = metrics.auc(labels.join(documents, "doc_id"), "quality", "n_chars", by=["lang"])
-    return areas.filter("auc IS NOT NULL").select("lang", F.round("auc", 6).alias("auc"))
+    return areas.select("lang", F.round("auc", 6).alias("auc"))
 
 
 @query(
