@@ -28,14 +28,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a cut in the lineage that outlives executors."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
 
 
-def stored_alone(df: DataFrame, name: str) -> DataFrame:
-    """As ``stored``; the shuffle files behind it, large ones, go at once and not at some later collection."""
-    kept = stored(df, name)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return kept
+def release(tables: list[DataFrame]) -> None:
+    """Empty stored tables that nothing reads any more: what was made of them has been stored itself."""
+    for table in tables:
+        table.sparkSession.range(0).write.mode("overwrite").parquet(table.stored_at)
 
 
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

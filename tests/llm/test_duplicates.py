@@ -58,20 +58,65 @@ def test_edit_distance_has_a_bound():
         edit.within(*[np.zeros((0, 0), "i4"), np.zeros(0, "i4")] * 2, 8)
 
 
-def brute_lines(rows, edits=2, shortest=32):
+def rule(n):
+    """Edits between two lines the shorter one of which has n characters."""
+    return 0 if n < 16 else 1 if n < 32 else max(2, n // 50)
+
+
+def at_most(a, b, most):
+    """Whether ``b``, the longer, is within ``most`` edits of ``a``: the plain table, as far as the diagonals allow."""
+    start = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    a, b = a[start:], b[start:]
+    end = next((k for k, (x, y) in enumerate(zip(a[::-1], b[::-1], strict=False)) if x != y), len(a))
+    a, b = a[: len(a) - end], b[: len(b) - end]
+    far = most + 1
+    row = {j: j for j in range(min(len(b), most) + 1)}
+    for i, x in enumerate(a, 1):
+        now = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            best = min(row.get(j, far), now.get(j - 1, far)) + 1
+            if j:
+                best = min(best, row.get(j - 1, far) + (x != b[j - 1]))
+            now[j] = i if j == 0 else best
+        row = now
+    return row.get(len(b), far) <= most
+
+
+def linked_pairs(distinct):
+    """All linked pairs by the rule; letters that one line has more of than the other rule most out beforehand."""
+    distinct = sorted(distinct, key=lambda x: (len(x), x))
+    sizes = np.array([len(x) for x in distinct])
+    letters = sorted({c for x in distinct for c in x})
+    bags = np.zeros((len(distinct), len(letters)), "i4")
+    for i, x in enumerate(distinct):
+        for c in set(x):
+            bags[i, letters.index(c)] = x.count(c)
+    pairs = []
+    for i, a in enumerate(distinct):
+        most = rule(len(a))
+        end = int(np.searchsorted(sizes, len(a) + most, side="right"))
+        if most and end > i + 1:
+            more = np.maximum(bags[i + 1 : end] - bags[i], 0).sum(1)
+            pairs += [(a, distinct[i + 1 + k]) for k in np.flatnonzero(more <= most).tolist() if at_most(a, distinct[i + 1 + k], most)]
+    return pairs
+
+
+def test_the_tests_own_distance():
+    pick = random.Random(8)
+    for _ in range(300):
+        a, b = sorted(("".join(pick.choice("ab") for _ in range(pick.randint(0, 12))) for _ in range(2)), key=len)
+        most = pick.randint(max(0, len(b) - len(a)), 8 + len(b) - len(a))
+        assert at_most(a, b, most) == (distance(a, b) <= most)
+
+
+def brute_lines(rows):
     occurrences = []
     for i, text in rows:
         for n, line in enumerate((text or "").split("\n") if text is not None else []):
             line = line.strip(" \t\n\x0b\x0c\r")
             if line:
                 occurrences.append((i, n, line))
-    distinct = sorted({line for _, _, line in occurrences})
-    pairs = [
-        (a, b)
-        for k, a in enumerate(distinct)
-        for b in distinct[k + 1 :]
-        if min(len(a), len(b)) >= shortest and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits
-    ]
+    pairs = linked_pairs({line for _, _, line in occurrences})
     class_of, links = union(pairs), {}
     for a, b in pairs:
         links[a], links[b] = links.get(a, 0) + 1, links.get(b, 0) + 1
@@ -142,29 +187,13 @@ def test_line_dedup_of_odd_rows(odd, nothing, odd_rows):
 
 
 def test_line_dedup_query(spark, sf, corpus):
-    # All lines of the table by an independent route: candidates share one of three thirds at a near place.
-    rows = [(i, r.text) for i, r in corpus.items()]
-    lines = sorted({x.strip(" \t\r\x0b\x0c") for _, t in rows for x in t.split("\n")} - {""})
-    by_size = {}
-    for line in lines:
-        if len(line) >= 32:
-            by_size.setdefault(len(line), []).append(line)
-    pairs = []
-    for size, own in by_size.items():
-        for longer in range(3):
-            a = [x for x in own for _ in by_size.get(size + longer, [])]
-            b = [y for _ in own for y in by_size.get(size + longer, [])]
-            if a:
-                (p, n), (q, m) = edit.code_points(a), edit.code_points(b)
-                close = edit.within(p, n, q, m, 2)
-                pairs += [(x, y) for x, y, c in zip(a, b, close, strict=True) if c and (longer or x < y)]
-    links = {}
-    for a, b in pairs:
-        links[a], links[b] = links.get(a, 0) + 1, links.get(b, 0) + 1
-    for r in queries.op1_line_dedup(spark, sf).collect():
-        line = corpus[r.doc_id].text.split("\n")[r.line_no].strip(" \t\r\x0b\x0c")
-        assert r.n_links == links.get(line, 0)
-        assert r.kept == ((r.doc_id, r.line_no) == (r.class_doc_id, r.class_line_no))
+    # The whole table by plain comparison of all lines of like lengths.
+    want = brute_lines([(i, r.text) for i, r in corpus.items()])
+    got = found_lines(queries.op1_line_dedup(spark, sf))
+    assert got == want
+    lengths = {(i, n): len(corpus[int(i)].text.split("\n")[n].strip()) for i, n, *_ in want}
+    far = [r for r in want if r[4] and lengths[r[:2]] >= 150]
+    assert len(far) >= 10  # the rule by length is at work on the table
 
 
 def brute_print(text):
@@ -277,6 +306,32 @@ def test_wide_band():
             assert edit.within_wide(x, y, most) == (distance(x, y) <= most)
 
 
+def test_common_lines_and_keys_that_others_hold(spark, monkeypatch):
+    # Copies of a long line, each with an edit of its own: their keys' lines are subsets of others'. All keys count as common.
+    pick = random.Random(4)
+    word = lambda: "".join(pick.choice("abcdefghij") for _ in range(pick.randint(2, 9)))
+    base = [" ".join(word() for _ in range(n)) for n in (8, 45, 130)]
+    rows = [(i, "\n".join(variants(i, b, 1, 4).__next__() for b in base)) for i in range(60)]
+    rows += [(100 + i, base[1] + " " + " ".join(word() for _ in range(40))) for i in range(10)]  # passages shared by unlike lines
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_lines(rows)
+    assert found_lines(line_dedup.near_duplicates(frame)) == want
+    monkeypatch.setattr(line_dedup, "SAMPLED", 1)
+    monkeypatch.setattr(line_dedup, "COMMON", 2)
+    assert found_lines(line_dedup.near_duplicates(frame.repartition(7))) == want
+
+
+def test_runs_hold_for_every_length():
+    for n in range(150, 6000):
+        number = int(np.searchsorted(line_dedup.CLASSES, n, side="right"))
+        edits = rule(n)
+        assert line_dedup.RUNS[number] <= -(-(n - edits) // (edits + 1))
+        for longer in range(edits + 1):  # the longer line is in the shorter one's class too
+            m = n + longer
+            low, high = (int(np.searchsorted(line_dedup.CLASSES, x, side="right")) for x in (m - m // line_dedup.SHARE, m))
+            assert number in (low, high)
+
+
 def test_edits_grow_with_length(spark):
     pick, rows = random.Random(9), []
     for k, size in enumerate((12, 17, 31, 90, 149, 151, 186, 240, 700)):

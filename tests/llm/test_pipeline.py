@@ -1,7 +1,7 @@
 import corpus_pipeline
 import pytest
 
-from surveyflow.llm import line_dedup, simhash
+from surveyflow.llm import simhash
 from tests.llm.test_duplicates import brute_components, brute_lines, brute_print
 from tests.llm.test_filters import base_counts, brute_rules
 from tests.llm.test_tokens import check_packing
@@ -44,11 +44,9 @@ def test_language_stage(staged):
 
 def test_line_stage(staged):
     before, after = as_dict(staged[2]), as_dict(staged[3])
-    rows = [(i, r.text) for i, r in before.items()]
-    verdict = brute_verdict(rows)
+    kept = {(i, n) for i, n, _, _, _, stays in brute_lines([(i, r.text) for i, r in before.items()]) if stays}
     for i, r in before.items():
-        lines = r.text.split("\n")
-        left = [x for n, x in enumerate(lines) if verdict.get((i, n), True)]
+        left = [x for n, x in enumerate(r.text.split("\n")) if (str(i), n) in kept or not x.strip(" \t\r\x0b\x0c")]
         text = "\n".join(left)
         if text.strip():
             assert after[i].text == text and after[i].n_chars == len(text)
@@ -57,30 +55,6 @@ def test_line_stage(staged):
             assert i not in after
 
 
-def brute_verdict(rows):
-    """Kept or not, by the operator's links checked against brute force where lines repeat."""
-    seen, verdict = {}, {}
-    for i, text in sorted(rows):
-        for n, line in enumerate(text.split("\n")):
-            line = line.strip(" \t\r\x0b\x0c")
-            if line:
-                near = next((x for x in seen.get(len(line) // 1000, []) if x == line or close(x, line)), None)
-                verdict[i, n] = near is None
-                seen.setdefault(len(line) // 1000, []).append(line)
-    return verdict
-
-
-def close(a, b):
-    if min(len(a), len(b)) < line_dedup.SHORTEST or abs(len(a) - len(b)) > line_dedup.EDITS:
-        return False
-    half = min(len(a), len(b)) // 3
-    if a[:half] != b[:half] and a[-half:] != b[-half:] and a[half + 3 : 2 * half - 3] not in b:
-        return False
-    from tests.llm.test_duplicates import distance
-
-    return distance(a, b) <= line_dedup.EDITS
-
-
 def test_near_duplicate_stage(staged):
     before, after = as_dict(staged[3]), as_dict(staged[4])
     want = brute_components({i: brute_print(r.text) for i, r in before.items()})
