@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from queries.cleaning import reasons_sql
@@ -29,7 +31,7 @@ from surveyflow.session import scratch_path, tune
 from surveyflow.sources.discover import discover
 from surveyflow.sources.bundle import load_bundle, save_bundle, summary_row
 from surveyflow.sources.files import read_csv, write_csv, write_parquet
-from surveyflow.sources.records import NO_OBJECT, NO_RECORDS, explode_records, read_records, readable, unreadable
+from surveyflow.sources.records import NO_OBJECT, NO_RECORDS, explode_records, read_body_lines, read_records, readable, unreadable
 
 QUERIES = {}
 ORACLE = {}
@@ -101,6 +103,32 @@ def _(spark, d):
     return found.select(*keys, F.concat_ws("; ", "reasons").alias("reasons"))
 
 
+@query(
+    "q_record_lines",
+    f"""WITH {clean_cte()}, r AS (
+  SELECT NULL::INTEGER AS i, '{NO_RECORDS}' AS reasons FROM clean, (VALUES (1), (2)) v(x)
+  UNION ALL SELECT i, '{NO_OBJECT}' FROM clean, (VALUES (0), (2), (3)) v(i)
+  UNION ALL SELECT 1, {reasons_sql()} FROM clean)
+SELECT i AS "index", reasons, count(*) AS rows, count(*) AS places FROM r GROUP BY 1, 2""",
+)
+def _(spark, d):
+    """Bodies by lines through files that are read in ranges: what each record is refused for, and how many places that makes."""
+    raw = survey_raw(spark, d)
+    whole = F.to_json(F.struct(*[quoted(c) for c in RULED]))
+    kinds = [
+        F.concat(F.lit('{"records":['), whole), F.lit('{"records":[]}'),
+        F.concat(F.lit('{"records":[1,'), whole, F.lit(',null,"text"]}')),
+    ]
+    path = scratch_path(spark, "request-lines")
+    raw.select(F.explode(F.array(*kinds)).alias("value")).coalesce(2).write.text(path)
+    records = read_records(read_body_lines(spark, path, split_bytes=1 << 20), "value", RULED, keys=["body"])
+    keys = ["body", "index"]
+    cleaned = clean.bind(clean.clean_cells(readable(records), SURVEY_RULES, keys=keys), RULED)
+    found = validate.with_reasons(cleaned, SURVEY_RULES).select(*keys, "reasons").union(unreadable(records, keys))
+    found = found.select(*keys, F.concat_ws("; ", "reasons").alias("reasons"))
+    return found.groupBy("index", "reasons").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("body").alias("places"))
+
+
 # ---- files ----------------------------------------------------------------------------
 
 
@@ -167,12 +195,49 @@ def loaded_sql(table: str, columns: list[str]) -> str:
 
 @query("q_load_all", " UNION ALL ".join(loaded_sql(t, c) for t, c in TABLE_TEXT.items()))
 def _(spark, d):
+    """Every loaded table is read back and has the fingerprint of what was written."""
     tune(spark)
     target = scratch_path(spark, "loaded")
-    audit = load_all(spark, d, lambda df, name: write_parquet(df, f"{target}/{name}"), parquet_unit="file")
+    write = lambda df, name: write_parquet(df, f"{target}/{name}")
+    audit = load_all(spark, d, write, parquet_unit="file", read_back=lambda name: spark.read.parquet(f"{target}/{name}"))
     return audit.select("table_name", "rows")
 
 
+def contents_sql(table: str, columns: list[str], source: str) -> str:
+    """(table, column, present, digest): the sum of a part of each text's MD5, which any engine has."""
+    number = "('0x' || substr(md5({0}), 1, 8))::BIGINT" if source == "sql" else "cast(conv(substr(md5({0}), 1, 8), 16, 10) AS BIGINT)"
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count({c}) AS present, "
+        f"CAST(coalesce(sum({number.format(c)}), 0) AS BIGINT) AS digest FROM {{0}}"
+        for c in columns
+    )
+
+
+def _loaded_contents_sql() -> str:
+    parts = []
+    for table, columns in TABLE_TEXT.items():
+        changed = ", ".join(
+            f"CASE WHEN trim({c}) IN ({tokens_sql(LOADER_TOKENS)}) THEN NULL ELSE trim({c}) END AS {c}" for c in columns
+        )
+        if columns:
+            parts.append(contents_sql(table, columns, "sql").replace("{0}", f"(SELECT DISTINCT * REPLACE ({changed}) FROM {table}) t"))
+    return " UNION ALL ".join(parts)
+
+
+@query("q_load_contents", _loaded_contents_sql())
+def _(spark, d):
+    """What the loaded tables hold: present cells and digests of every text column."""
+    tune(spark)
+    target = scratch_path(spark, "loaded")
+    load_all(spark, d, lambda df, name: write_parquet(df, f"{target}/{name}"), parquet_unit="file")
+    parts = []
+    for table, columns in TABLE_TEXT.items():
+        if columns:
+            loaded = spark.read.parquet(f"{target}/{table}")
+            parts.append(spark.sql(contents_sql(table, columns, "spark").replace("{0}", "{loaded}"), loaded=loaded))
+    return reduce(lambda a, b: a.union(b), parts)
+
+
 # ---- training and scoring ---------------------------------------------------------------
 
 _bundles: dict[tuple[str, str, str], str] = {}
@@ -474,6 +539,51 @@ def _(spark, d):
     return cluster.elbow(rows, SHAPE, ks=range(2, 8))
 
 
+def axes_sql(columns: dict[str, str], rounds: int = 200) -> str:
+    """Both first axes by power iteration on the correlations, the second after taking the first one's part away."""
+    names = list(columns)
+    cells = [(a, b) for a in names for b in names]
+    corr = ", ".join(f"corr({a}, {b}) AS {a}_{b}" for a, b in cells)
+
+    def power(matrix: str, walk: str) -> str:
+        turned = {a: " + ".join(f"m.{a}_{b} * v.{b}" for b in names) for a in names}
+        length = f"sqrt({' + '.join(f'({x}) * ({x})' for x in turned.values())})"
+        start = ", ".join(f"{1 + 0.1 * i}::DOUBLE AS {c}" for i, c in enumerate(names))
+        step = ", ".join(f"({x}) / {length} AS {c}" for c, x in turned.items())
+        return f"{walk} AS (SELECT 0 AS n, {start} UNION ALL SELECT n + 1, {step} FROM {walk} v, {matrix} m WHERE n < {rounds})"
+
+    def axis(walk: str, matrix: str, number: int) -> str:
+        value = " + ".join(f"v.{a} * m.{a}_{b} * v.{b}" for a, b in cells)
+        sign = " ".join(f"WHEN abs({c}) >= greatest({', '.join(f'abs({x})' for x in names)}) THEN sign({c})" for c in names)
+        return f"SELECT {number} AS axis, {value} AS variance, v.*, CASE {sign} END AS s FROM (SELECT * FROM {walk} WHERE n = {rounds}) v, {matrix} m"
+
+    less = ", ".join(f"m.{a}_{b} - a.variance * a.{a} * a.{b} AS {a}_{b}" for a, b in cells)
+    lines = " UNION ALL ".join(
+        f"SELECT axis, '{c}' AS feature, round(s * {c}, 4) + 0.0 AS part, round(variance, 4) AS variance FROM both_axes" for c in names
+    )
+    columns_sql = ", ".join(f"({x})::DOUBLE AS {c}" for c, x in columns.items())
+    return (
+        f"WITH RECURSIVE x AS (SELECT {columns_sql} FROM lineitem), m1 AS (SELECT {corr} FROM x), {power('m1', 'w1')}, "
+        f"a1 AS ({axis('w1', 'm1', 1)}), m2 AS (SELECT {less} FROM m1 m, a1 a), {power('m2', 'w2')}, a2 AS ({axis('w2', 'm2', 2)}), "
+        f"both_axes AS (SELECT * FROM a1 UNION ALL SELECT * FROM a2) {lines}"
+    )
+
+
+@query("q_pca_axes", axes_sql(MEASURES))
+def _(spark, d):
+    """Directions and variances of the first two components of all line items."""
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select(*[F.expr(x).cast("double").alias(c) for c, x in MEASURES.items()])
+    axes = cluster.principal_axes(rows, list(MEASURES))
+    table = [
+        (number, c, float(part), float(variance))
+        for number, (direction, variance) in enumerate(zip(axes.directions, axes.variances, strict=True), 1)
+        for c, part in zip(axes.columns, direction, strict=True)
+    ]
+    return spark.createDataFrame(table, "axis int, feature string, part double, variance double").select(
+        "axis", "feature", (F.round("part", 4) + F.lit(0.0)).alias("part"), F.round("variance", 4).alias("variance")
+    )
+
+
 @query("q_pca")
 def _(spark, d):
     rows = cluster.positives(survey_curated(spark, d, "dropped")).select(KEY, *NUMERIC)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyflow.functions.cells import quoted
+from surveyflow.functions.moments import VECTOR_SCHEMA, add_up, batch_matrix, pack, unpack, vector_batch
 from surveyflow.operators.encode import fit_scale, scale
 
 
@@ -26,12 +29,74 @@ def standardized_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features").transform(scaled).drop(*names)
 
 
+@dataclass(frozen=True)
+class Axes:
+    """Principal components of standardised columns: directions by falling variance, each with its largest part positive."""
+
+    columns: list[str]
+    means: np.ndarray
+    spreads: np.ndarray
+    directions: np.ndarray
+    variances: np.ndarray
+
+
+def _moment_sums(columns: list[str]):
+    """Task function: product sums of [1, row] about the row's block, one vector a task."""
+
+    def run(batches):
+        size = len(columns) + 1
+        total = np.zeros(size * (size + 1) // 2)
+        for batch in batches:
+            rows = np.hstack([np.ones((batch.num_rows, 1)), batch_matrix(batch, columns)])
+            rows = rows[~np.isnan(rows).any(1)]
+            total += pack(rows.T @ rows)
+        yield vector_batch({0: total})
+
+    return run
+
+
+def principal_axes(df: DataFrame, columns: Sequence[str], k: int = 2) -> Axes:
+    """From product sums over all complete rows, in two passes: the means, then products about them.
+
+    Passes return a vector of p * p / 2 sums; rows are neither stored nor moved. A constant column has no direction.
+    """
+    names = list(columns)
+    numbers = df.select(*[quoted(c).cast("double").alias(c) for c in names])
+    complete = numbers.na.drop()
+    first = complete.agg(F.count(F.lit(1)).alias("n"), *[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    if not first["n"]:
+        raise ValueError("no complete row")
+    means = np.array([first[f"m{i}"] for i in range(len(names))])
+    centred = complete.select(*[(quoted(c) - float(m)).alias(c) for c, m in zip(names, means, strict=True)])
+    sums = unpack(add_up(centred.mapInArrow(_moment_sums(names), VECTOR_SCHEMA))[0][0], len(names) + 1)
+    products = sums[1:, 1:] / first["n"]
+    spreads = np.sqrt(np.diag(products))
+    spreads = np.where(spreads > 1e-12 * np.maximum(np.abs(means), 1.0), spreads, np.inf)
+    values, vectors = np.linalg.eigh(products / np.outer(spreads, spreads))
+    order = np.argsort(-values, kind="stable")[:k]
+    directions = vectors[:, order].T
+    largest = np.abs(directions).argmax(1)
+    directions *= np.sign(directions[np.arange(len(directions)), largest])[:, None]
+    return Axes(names, means, spreads, directions, values[order])
+
+
+def projected(df: DataFrame, axes: Axes, keys: Sequence[str]) -> DataFrame:
+    """Keys and the coordinates of each complete row on the axes, by plain arithmetic."""
+    complete = df.select(*[quoted(k) for k in keys], *[quoted(c).cast("double").alias(f"__{c}") for c in axes.columns])
+    complete = complete.na.drop(subset=[f"__{c}" for c in axes.columns])
+    parts = []
+    for number, direction in enumerate(axes.directions, 1):
+        terms = [
+            (quoted(f"__{c}") - float(m)) * float(w / s)
+            for c, m, s, w in zip(axes.columns, axes.means, axes.spreads, direction, strict=True)
+        ]
+        parts.append(reduce(lambda a, b: a + b, terms).alias(f"pc{number}"))
+    return complete.select(*[quoted(k) for k in keys], *parts)
+
+
 def project(df: DataFrame, columns: Sequence[str], keys: Sequence[str], k: int = 2) -> DataFrame:
     """Keys and the first ``k`` principal components, for plotting."""
-    vectors = standardized_vectors(df, columns)
-    parts = vector_to_array(F.col("components"))
-    projected = PCA(k=k, inputCol="features", outputCol="components").fit(vectors).transform(vectors)
-    return projected.select(*[quoted(key) for key in keys], *[parts[i].alias(f"pc{i + 1}") for i in range(k)])
+    return projected(df, principal_axes(df, columns, k), keys)
 
 
 def fit_clusters(vectors: DataFrame, k: int, seed: int = 42) -> KMeansModel:

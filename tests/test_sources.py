@@ -4,6 +4,8 @@ import json
 import os
 from pathlib import Path
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,3 +277,70 @@ def test_loading_needs_a_database(spark, tmp_path):
 def test_root_of_bucket_and_prefix():
     assert parse_job(["--bucket", "b", "--prefix", "/x/y/"], {}).root == "s3a://b/x/y"
     assert parse_job(["--bucket", "b"], {}).root == "s3a://b"
+
+
+def test_lines_are_read_once_however_files_are_split(spark, tmp_path):
+    from surveyflow.sources import lines
+
+    texts = ["a", "", "bb" * 40, "é", "x" * 300, "", "last\r"]
+    (tmp_path / "one.jsonl").write_bytes("\n".join(texts).encode())
+    (tmp_path / "two.jsonl").write_bytes("\n".join(reversed(texts)).encode() + b"\n")
+    (tmp_path / "none.jsonl").write_bytes(b"")
+    (tmp_path / "_SUCCESS").write_bytes(b"no line")
+    data = {f.name: f.read_bytes() for f in tmp_path.glob("*.jsonl")}
+    want = None
+    for split in (1, 2, 7, 64, 1 << 20):
+        rows = lines.read_lines(spark, f"file://{tmp_path}", split).collect()
+        got = sorted((r.file.rsplit("/", 1)[1], r.position, r.value) for r in rows)
+        assert want in (None, got)
+        want = got
+    assert sorted(v for _, _, v in want) == sorted(2 * [t.strip("\r") for t in texts if t])
+    for name, position, value in want:
+        assert data[name][position:].startswith(value.encode())
+        assert position == 0 or data[name][position - 1 : position] == b"\n"
+    assert len(lines.planned([("a", 10 * (1 << 30))], 64 << 20)) == 160
+    with pytest.raises(Exception, match="nowhere"):
+        lines.read_lines(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_a_long_line_over_many_ranges(tmp_path):
+    import pyarrow.fs
+
+    from surveyflow.sources import lines
+
+    (tmp_path / "f").write_bytes(b"a" * 5000 + b"\n" + b"b" * 10 + b"\n")
+    with pyarrow.fs.LocalFileSystem().open_input_file(str(tmp_path / "f")) as file:
+        found = [x for at in range(0, 5012, 100) for x in lines.lines_of(file, at, min(at + 100, 5012))]
+    assert found == [(0, b"a" * 5000), (5001, b"b" * 10)]
+
+
+def test_a_failed_save_leaves_the_version_before(spark, tmp_path, bundle, monkeypatch):
+    path = str(tmp_path / "b")
+    bundles.save_bundle(spark, bundle, path)
+    changed = dataclasses.replace(bundle, metadata={**bundle.metadata, "algorithm": "other"})
+    for step in ("_parameters", "_point_to"):
+        with monkeypatch.context() as patch:
+            patch.setattr(bundles, step, lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                bundles.save_bundle(spark, changed, path)
+        assert bundles.load_bundle(spark, path).metadata["algorithm"] == bundle.metadata["algorithm"]
+    bundles.save_bundle(spark, changed, path)
+    assert bundles.load_bundle(spark, path).metadata["algorithm"] == "other"
+    assert bundles.load_bundle(spark, path, 1).metadata["algorithm"] == bundle.metadata["algorithm"]
+    with pytest.raises(FileNotFoundError):
+        bundles.load_bundle(spark, path, 7)
+
+
+def test_loaded_contents_are_compared(spark, tmp_path):
+    from surveyflow.plans.load import Differs
+
+    source = tmp_path / "in"
+    rows = [(1, "a", None), (2, None, "a"), (2, None, "a"), (3, "b", "c")]
+    spark.createDataFrame(rows, "k int, x string, y string").write.parquet(str(source / "t"))
+    tables = {}
+    audit = load_all(spark, str(source), lambda df, n: tables.__setitem__(n, df.collect()) or df.count(), read_back=lambda n: spark.createDataFrame(tables[n], "k int, x string, y string"))
+    first = audit.first()
+    assert first["rows"] == 3 and first.hash_sum and first.hash_xor
+    swapped = [(1, None, "a"), (2, None, "a"), (3, "b", "c")]
+    with pytest.raises(Differs):
+        load_all(spark, str(source), lambda df, n: df.count(), read_back=lambda n: spark.createDataFrame(swapped, "k int, x string, y string"))
