@@ -332,6 +332,16 @@ def test_runs_hold_for_every_length():
             assert number in (low, high)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abcdé😀 ", max_size=30), min_size=2, max_size=12), st.integers(0, 6))
+def test_bags_rule_out_no_close_pair(strings, most):
+    strings = sorted(strings, key=len)
+    a, b = np.triu_indices(len(strings), 1)
+    alike = line_dedup._alike(line_dedup._bags(strings), a, b, np.full(len(strings), most))
+    for x, y, good in zip(a.tolist(), b.tolist(), alike.tolist(), strict=True):
+        assert good or distance(strings[x], strings[y]) > most
+
+
 def test_edits_grow_with_length(spark):
     pick, rows = random.Random(9), []
     for k, size in enumerate((12, 17, 31, 90, 149, 151, 186, 240, 700)):
