@@ -13,7 +13,8 @@ rows, so the work is the product of both, while what leaves a pair of blocks is
 Edge cases: null vectors and those with null or non-finite components take no part; shorter vectors
 count as filled up with zeros; equal scores go to the smaller id; all rows of a query's own id are
 left out; repeated rows are ranked each, repeated queries once (the least vector of an id); an empty
-table gives an empty result. Only id and vector are read, so further columns cannot clash.
+table gives an empty result. Components so large that a score might not fit a long raise, and never
+wrap. Only id and vector are read, so further columns cannot clash.
 """
 
 from __future__ import annotations
@@ -64,7 +65,9 @@ def blocks(df: DataFrame, size: int) -> DataFrame:
             ids = part.column("vec_id").to_numpy().astype("i8")
             cutoffs = part.column("cutoff").to_numpy().astype("i8").tobytes() if has_cutoff else b""
             number = int(ids[0]) if len(ids) else 0
-            most = int(np.abs(dense).max(initial=0))
+            most = max(abs(int(dense.min(initial=0))), abs(int(dense.max(initial=0))))
+            if most * most * max(width, 1) >= 1 << 63:
+                raise ValueError(f"a whole component of {most} is too large: scores would not fit a long")
             kind = next(t for t in ("i2", "i4", "i8") if most <= np.iinfo(t).max)
             values = [number, len(v), width, ids.tobytes(), dense.astype(kind).tobytes(), cutoffs]
             types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]

@@ -94,3 +94,11 @@ def test_sharding_of_odd_rows(spark, odd, nothing, odd_rows):
         assert own == list(range(len(own)))
     none = sharding.into_slots(nothing)
     assert sharding.place(none, sharding.load_map(spark, folder), sharding.slot_loads(none)).count() == 0
+
+
+@pytest.mark.parametrize("component", [float(1 << 28) * 64, 1e300, -1e300])
+def test_scores_beyond_a_long_raise(spark, component):
+    rows = [(0, [component, component]), (1, [component, component]), (2, [1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="would not fit a long"):
+        topk.search(frame, F.col("vec_id") == 0).collect()
