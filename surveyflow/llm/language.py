@@ -150,14 +150,19 @@ def _counted(text: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _expectation(p, w, at, of, share, total) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions and log-likelihoods after expectation-maximisation from ``share``."""
+    """Proportions and log-likelihoods after expectation-maximisation from ``share``.
+
+    Each document rests by its own change, so what it gets does not depend on those beside it.
+    """
+    going = np.ones(len(share), bool)
     for _ in range(ROUNDS):
         joint = p * share[of]
         mixed = joint.sum(1)
         fresh = np.add.reduceat((w / mixed)[:, None] * joint, at) / total[:, None]
-        moved = np.abs(fresh - share).max()
-        share = fresh
-        if moved < CLOSE:
+        moved = np.abs(fresh - share).max(1)
+        share = np.where(going[:, None], fresh, share)
+        going &= moved >= CLOSE
+        if not going.any():
             break
     return share, np.add.reduceat(w * np.log((p * share[of]).sum(1)), at)
 

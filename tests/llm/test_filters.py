@@ -203,3 +203,13 @@ def test_cumulative_link_orders_grades():
     chances = model.chances(x)
     assert chances.sum(1) == pytest.approx(1)
     assert (chances.argmax(1) == grades).mean() > 0.85
+
+
+def test_language_scores_do_not_depend_on_neighbours(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.Languages.learn(docs)
+    found = []
+    for parts in (1, 7):
+        rows = language.identify(docs.repartition(parts), model).collect()
+        found.append(sorted((r.doc_id, r.lang_pred, r.score, str(r.shares)) for r in rows))
+    assert found[0] == found[1]
