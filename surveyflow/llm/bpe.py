@@ -60,9 +60,9 @@ class PieceCoder:
     ``piece``, a part of letters alone is known to be one piece, and so is a mark behind it.
     """
 
-    def __init__(self, chunk, slow, piece=None, most: int = MOST_PIECES):
+    def __init__(self, chunk, slow, piece=None, most: int = MOST_PIECES, memo: type[Memo] = Memo):
         self.first = Memo(chunk, most // 20, LONGEST_PIECE)
-        self.later = Memo(self._part, most, LONGEST_PIECE)
+        self.later = memo(self._part, most, LONGEST_PIECE)
         self.chunk, self.slow, self.piece = chunk, slow, piece
         self.marks = {mark: chunk(mark) for mark in ",."} if piece else {}
 

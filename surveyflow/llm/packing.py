@@ -12,18 +12,20 @@ empty table gives an empty result. Only key and text are read, so further column
 
 from __future__ import annotations
 
-import struct
+from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from surveyflow.functions.cells import quoted
-from surveyflow.llm.bpe import LONGEST_PIECE, Memo, PieceCoder
+from surveyflow.llm.bpe import LETTER_RUNS, LONGEST_PIECE, Memo, PieceCoder
 from surveyflow.llm.common import held, in_batches, slices, texts
 
 CAPACITY = 2048
@@ -35,6 +37,25 @@ GROUP = 16384
 WEIGHTS = (1.0, 0.01, 0.01)
 
 
+class Recent(Memo):
+    """A memo in two halves: what is still asked for moves from the older half to the newer one, the rest goes."""
+
+    def __init__(self, make, most: int, longest: int):
+        super().__init__(make, most // 2, longest)
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Tokens:
     """A tokenizer file's ids, with pieces remembered.
 
@@ -55,18 +76,21 @@ class Tokens:
         self.split, self.model = getattr(split, "pre_tokenize_str", None), self.tokenizer.model
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
         hidden = [b for b in range(256) if b not in visible]
-        self.shown = {b: 256 + i for i, b in enumerate(hidden)}
-        self.pieces = Memo(self.piece, remember // 8, LONGEST_PIECE)
-        self.coder = PieceCoder(self.chunk, self.whole, self.letters, remember) if self.known else None
+        #: The character that stands for each byte.
+        self.shown = "".join(chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256))
+        self.pieces, self.plain = (Memo(make, remember // 16, LONGEST_PIECE) for make in (self.piece, self.letters))
+        self.runs = regex.compile(LETTER_RUNS)
+        self.coder = PieceCoder(self.chunk, self.whole, self.letters, remember, Recent) if self.known else None
 
     def piece(self, piece: str) -> bytes:
-        ids = [token.id for token in self.model.tokenize(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
 
     def letters(self, piece: str) -> bytes:
-        return self.piece(piece.encode().decode("latin-1").translate(self.shown))
+        return self.piece(charmap_decode(piece.encode(), "strict", self.shown)[0])
 
     def chunk(self, text: str) -> bytes:
+        if text.isascii():  # the splitter's own pattern, without its offsets; categories of ASCII never change
+            return b"".join(map(self.plain.__getitem__, self.runs.findall(text)))
         return b"".join([self.pieces[piece] for piece, _ in self.split(text)])
 
     def whole(self, text: str) -> bytes:

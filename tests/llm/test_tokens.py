@@ -158,3 +158,13 @@ def test_best_fit_respects_every_limit(rule):
 def test_best_fit_takes_the_closest_gap():
     where, _, used = packing.best_fit(np.array([60, 70, 30, 40]), (100, 10, 10**9))
     assert used == 2 and where[0] == where[3] and where[1] == where[2]
+
+
+def test_recent_memo_keeps_what_is_asked_for():
+    made = []
+    memo = packing.Recent(lambda key: made.append(key) or key.upper(), 8, 5)
+    for n in range(40):
+        assert memo["ab"] == "AB" and memo[f"k{n}"] == f"K{n}"
+        assert len(memo) + len(memo.older) <= 8
+    assert made.count("ab") == 1 and len(made) == 41
+    assert memo["too long"] == "TOO LONG" and "too long" not in memo
