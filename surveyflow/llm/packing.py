@@ -56,6 +56,29 @@ class Recent(Memo):
         return value
 
 
+class RunOfSpaces(Exception):
+    """A part that a text must not be cut before."""
+
+
+class Parts(PieceCoder):
+    """As its base, but runs of white space show up as parts that no memo holds, not by a search of every text."""
+
+    def _part(self, part: str) -> bytes:
+        if not part or part[0].isspace() or "\x1c" <= part[0] <= "\x1f":
+            raise RunOfSpaces
+        return super()._part(part)
+
+    def packed(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        rest = text.split(" ")
+        head = rest.pop(0)
+        try:
+            return (self.first[head] if head else b"") + b"".join(map(self.later.__getitem__, rest))
+        except RunOfSpaces:
+            return self.slow(text)
+
+
 class Tokens:
     """A tokenizer file's ids, with pieces remembered.
 
@@ -80,7 +103,7 @@ class Tokens:
         self.shown = "".join(chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256))
         self.pieces, self.plain = (Memo(make, remember // 16, LONGEST_PIECE) for make in (self.piece, self.letters))
         self.runs = regex.compile(LETTER_RUNS)
-        self.coder = PieceCoder(self.chunk, self.whole, self.letters, remember, Recent) if self.known else None
+        self.coder = Parts(self.chunk, self.whole, self.letters, remember, Recent) if self.known else None
 
     def piece(self, piece: str) -> bytes:
         return array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()

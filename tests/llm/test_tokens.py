@@ -168,3 +168,16 @@ def test_recent_memo_keeps_what_is_asked_for():
         assert len(memo) + len(memo.older) <= 8
     assert made.count("ab") == 1 and len(made) == 41
     assert memo["too long"] == "TOO LONG" and "too long" not in memo
+
+
+@pytest.mark.parametrize("space", [" ", "\t", "\n", "\u00a0", "\u2003", "\u3000", "\x1c", "\x1f", "\x85", "\u2028", "\u200b", "\ufeff"])
+def test_white_space_of_all_kinds(space):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, own = Tokenizer.from_file(path), packing.Tokens(path, 1000)
+    for text in (f"a {space}b", f"a{space} b", f"a {space}", f"{space} a", f" {space}", f"a{space}{space} b{space}\n c", f"x {space}{space}y z."):
+        want = plain.encode(text, add_special_tokens=False).ids
+        for _ in range(2):
+            assert np.frombuffer(own.packed(text), "<u4").tolist() == want
