@@ -533,6 +533,28 @@ def _(spark, d):
     return cluster.cluster_profile(cluster.with_clusters(rows, SHAPE, k=3), SHAPE)
 
 
+@query(
+    "q_kmeans_settled",
+    " UNION ALL ".join(
+        f"SELECT {k} AS k, count(*) AS rows, {k}::BIGINT AS clusters, TRUE AS settled, TRUE AS cheaper FROM lineitem" for k in (2, 3, 4)
+    ),
+)
+def _(spark, d):
+    """Certificate of k-means and of the elbow on all line items: every cluster has rows, another round moves no
+    centroid, each further cluster lowers the cost, and that stays above zero."""
+    rows, parts = _scaled(spark, d), []
+    before = rows.agg(*[F.var_pop(c).alias(c) for c in SCALED], F.count(F.lit(1)).alias("n")).first()
+    cost = before["n"] * sum(before[c] for c in SCALED)
+    for k in (2, 3, 4):
+        centroids, rests = cluster.settled_clusters(rows, list(SCALED), k)
+        last, cost = cost, cluster.within_cost(rows, centroids).first()["wss"]
+        again = cluster.lloyd(rows, list(SCALED), centroids, 1, digits=6) == centroids
+        found = cluster.assign(rows, centroids).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("cluster").alias("clusters"))
+        settled, cheaper = F.lit(rests and again).alias("settled"), F.lit(0 < cost < last).alias("cheaper")
+        parts.append(found.select(F.lit(k).alias("k"), "rows", "clusters", settled, cheaper))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @query("q_elbow")
 def _(spark, d):
     rows = cluster.positives(survey_curated(spark, d, "dropped")).select(*SHAPE)

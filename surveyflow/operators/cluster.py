@@ -153,6 +153,29 @@ def lloyd(
     return current
 
 
+def settle(
+    df: DataFrame, columns: Sequence[str], centroids: Sequence[dict[str, float]], digits: int = 6, most: int = 200
+) -> tuple[list[dict[str, float]], bool]:
+    """Rounds from given centroids until none moves any more, and whether that point was reached.
+
+    There each centroid is the rounded mean of the rows nearest to it, so another round changes nothing.
+    """
+    current = [{c: round(v, digits) for c, v in centroid.items()} for centroid in centroids]
+    for _ in range(most):
+        moved = lloyd(df, columns, current, 1, digits)
+        if moved == current:
+            return current, True
+        current = moved
+    return current, False
+
+
+def settled_clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, digits: int = 6) -> tuple[list[dict[str, float]], bool]:
+    """k-means in the columns' own units: a parallel start, then rounds until the centroids rest."""
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df.na.drop(subset=list(columns)))
+    centres = fit_clusters(vectors, k, seed).clusterCenters()
+    return settle(df, columns, [dict(zip(columns, map(float, c), strict=True)) for c in centres], digits)
+
+
 def within_cost(df: DataFrame, centroids: Sequence[dict[str, float]]) -> DataFrame:
     """One row: the sum of squared distances to the nearest of the given centroids."""
     distances = [
