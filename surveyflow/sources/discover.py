@@ -25,8 +25,8 @@ def discover(
 ) -> DataFrame:
     """(table_name, path, format): each CSV file, and each folder of Parquet part files.
 
-    ``parquet_unit="file"`` makes every Parquet file a table of its own. Files and folders
-    whose names start with '_' or '.' are skipped. A partitioned table, whose part files lie in
+    ``parquet_unit="file"`` makes every Parquet file a table of its own; a folder named like one
+    (``orders.parquet/part-0.parquet``, as Spark writes) is one file. Files and folders whose names start with '_' or '.' are skipped. A partitioned table, whose part files lie in
     folders ``name=value``, is one dataset. Spark lists the tree and reads no content.
     """
     if parquet_unit not in ("directory", "file") or on_clash not in CLASH_POLICIES:
@@ -39,7 +39,9 @@ def discover(
         .select("path")
     )
     # Partition folders belong to the table above them, unless every file is a table.
-    if parquet_unit == "directory":
+    if parquet_unit == "file":
+        files = files.select(F.regexp_replace("path", r"(/[^/]+\.(?i:parquet))(/[^/=]+=[^/]*)*/[^/]+\.(?i:parquet)$", "$1").alias("path"))
+    else:
         files = files.select(F.regexp_replace("path", r"(/[^/=]+=[^/]*)+(/[^/]+\.(?i:parquet))$", "$2").alias("path"))
     parts = F.split("path", "/")
     name = F.element_at(parts, -1)

@@ -344,3 +344,17 @@ def test_loaded_contents_are_compared(spark, tmp_path):
     swapped = [(1, None, "a"), (2, None, "a"), (3, "b", "c")]
     with pytest.raises(Differs):
         load_all(spark, str(source), lambda df, n: df.count(), read_back=lambda n: spark.createDataFrame(swapped, "k int, x string, y string"))
+
+
+def test_a_folder_named_like_a_file_is_one_table(spark, tmp_path):
+    for name, rows in (("orders", 40), ("events.PARQUET", 30)):
+        path = str(tmp_path / (name if "." in name else f"{name}.parquet"))
+        spark.range(rows).repartition(3).write.parquet(path)
+    spark.range(4).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(str(tmp_path / "parted.parquet"))
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "plain"))
+    files = {r.table_name: r.path for r in discover(spark, str(tmp_path), parquet_unit="file").collect()}
+    assert {"orders", "events", "parted"} < set(files) and len(files) == 4  # the file in ``plain`` has a name of its own
+    assert files["orders"].endswith("/orders.parquet") and files["parted"].endswith("/parted.parquet")
+    loaded = {}
+    load_all(spark, str(tmp_path), lambda df, name: loaded.setdefault(name, df.count()), parquet_unit="file")
+    assert {name: loaded[name] for name in ("orders", "events", "parted")} == {"orders": 40, "events": 30, "parted": 4}
