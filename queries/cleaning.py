@@ -348,7 +348,8 @@ def _(spark, d):
     off = F.when(F.col(KEY) % 3 == 0, 0.5).otherwise(0.0)
     half = survey_clean(spark, d).withColumn("pref_o_attractive", F.col("pref_o_attractive") + off)
     rows = {name: validate.filter_sums(half, rules).select(KEY, F.lit(True).alias(name)) for name, rules in TOLERANCES.items()}
-    joined = half.select(KEY).join(rows["strict"], KEY, "left").join(rows["loose"], KEY, "left")
+    # A row per survey row on each side: its few bytes in Parquet would have it broadcast through the driver.
+    joined = half.select(KEY).join(rows["strict"].hint("merge"), KEY, "left").join(rows["loose"].hint("merge"), KEY, "left")
     return joined.select(KEY, *[F.coalesce(name, F.lit(False)).alias(name) for name in rows])
 
 

@@ -164,3 +164,10 @@ def test_bound_cells_keep_rows_order_and_other_columns(spark):
     assert once.columns == df.columns and once.collect() == df.collect()
     assert clean.bind(df, []) is df
     assert clean.bind(df.limit(0), ["c"]).count() == 0
+
+
+def test_tolerances_are_joined_without_the_driver(spark, sf):
+    from queries.cleaning import QUERIES
+
+    joined = QUERIES["q_sum_tolerances"](spark, sf)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
