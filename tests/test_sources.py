@@ -358,3 +358,11 @@ def test_a_folder_named_like_a_file_is_one_table(spark, tmp_path):
     loaded = {}
     load_all(spark, str(tmp_path), lambda df, name: loaded.setdefault(name, df.count()), parquet_unit="file")
     assert {name: loaded[name] for name in ("orders", "events", "parted")} == {"orders": 40, "events": 30, "parted": 4}
+
+
+def test_rejects_take_one_scan(spark, sf):
+    from queries.models import QUERIES
+
+    found = QUERIES["q_record_rejects"](spark, sf)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan
