@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -306,6 +308,48 @@ def test_wide_band():
             assert edit.within_wide(x, y, most) == (distance(x, y) <= most)
 
 
+@pytest.mark.parametrize("few", [0, 3, 32])
+def test_diagonals_and_band_agree_with_plain_distance(monkeypatch, few):
+    monkeypatch.setattr(edit, "FEW", few)
+    pick, told = random.Random(5), set()
+    for n in (0, 1, 2, 3, 9, 16, 17, 33, 80) * 40:
+        a = "".join(pick.choice("abé") for _ in range(n))
+        b = list(a)
+        for _ in range(pick.randint(0, 9)):
+            at = pick.randrange(len(b) + 1)
+            b[at : at + pick.randint(0, 1)] = pick.choice(["", "a", "q"])
+        x, y = sorted([a, "".join(b)], key=len)
+        most = pick.randint(0, 12)
+        close = distance(x, y) <= most
+        told.add(close)
+        assert edit.within_wide(x, y, most) == close
+    assert told == {False, True}
+
+
+def test_nearly_equal_long_lines_take_no_band():
+    # A mask of the whole line for every character would be several times this much.
+    pick = random.Random(6)
+    a = "".join(pick.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60_000))
+    b = a[:1000] + "é" + a[1001:30_000] + a[30_001:] + "qq"
+    tracemalloc.start()
+    try:
+        assert edit.within_wide(a, b, 1200)
+        assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_pair_comes_under_the_least_key_of_both():
+    pick = random.Random(7)
+    strings = [f"{'x' * 200}{i:03}" for i in range(40)]
+    own = [sorted({pick.randrange(12) for _ in range(pick.randint(1, 5))}) for _ in strings]
+    rows = [{"key": k, "p": 0, "q": 0, "own": 0, "keys": own[i], "i": i} for k in range(12) for i in range(40) if k in own[i]]
+    rows, number = pa.Table.from_pylist(rows), np.array([r["i"] for r in rows])
+    found = line_dedup._long_candidates(rows, number, np.full(40, 203), strings, 2, 32)
+    pairs = sorted(pair for _, a, b in found for pair in zip(a.tolist(), b.tolist(), strict=True))
+    assert pairs == [(i, j) for i in range(40) for j in range(i + 1, 40) if set(own[i]) & set(own[j])]
+
+
 def test_common_lines_and_keys_that_others_hold(spark, monkeypatch):
     # Copies of a long line, each with an edit of its own: their keys' lines are subsets of others'. All keys count as common.
     pick = random.Random(4)
