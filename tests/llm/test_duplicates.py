@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -9,7 +10,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from surveyflow.llm import edit, line_dedup, queries, simhash
+from surveyflow.llm import common, edit, line_dedup, queries, simhash
 from surveyflow.llm.components import components
 
 
@@ -410,3 +411,38 @@ def test_edits_grow_with_length(spark):
     found = {r.doc_id: r.n_links for r in line_dedup.near_duplicates(frame).collect()}
     assert found == {i: links[x.strip()] for i, x in rows}
     assert all(any(found[10 * k + n] for n in range(5)) for k in range(1, 9))
+
+
+def test_long_lines_verified_in_turns_lose_no_link(spark, monkeypatch):
+    """Texts go to their keys in turns that move about as many bytes as the texts have: links are those of one turn."""
+    pick = random.Random(6)
+    base = ["".join(pick.choice("abcdefgh ") for _ in range(size)) for size in (400, 900)]
+    rows = [(100 * k + i, v) for k, b in enumerate(base) for i, v in enumerate(variants(k, b, 12, 5))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = found_lines(line_dedup.near_duplicates(frame))
+    monkeypatch.setattr(line_dedup, "_turns", lambda *_: 3)
+    assert found_lines(line_dedup.near_duplicates(frame)) == want == brute_lines(rows)
+
+
+def test_turns_follow_from_what_is_moved(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "x" * 76, [(1, 5), (2, 300), (3, 1)])], "h long, line string, own_keys array<struct<key: long, n: long>>")
+    assert line_dedup._turns(texts, 256) == 1
+    monkeypatch.setattr(line_dedup, "TURN_BYTES", 1)
+    assert line_dedup._turns(texts, 256) == 4  # the key of 300 lines is dealt out in two parts
+    assert line_dedup._turns(texts.limit(0), 256) == 1
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(common.FILE_CLEANUP, None)
+    kept = common.stored(spark.range(1000).repartition(4, "id"), "some")
+    assert kept.count() == 1000
+    until = time.time() + 20
+    while files() - before and time.time() < until:  # they are removed beside the driver's work
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(common.FILE_CLEANUP, None) == setting
